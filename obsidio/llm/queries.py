@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .common import table
 
@@ -13,8 +13,18 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .bpe import encode_texts
+
+    encoded = encode_texts(table(spark, sf_dir, "documents"))
+    return encoded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op9_exact_dedup": op9_exact_dedup,
+    "op10_bpe_automaton": op10_bpe_automaton,
 }
 
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
