@@ -43,16 +43,21 @@ def _hits_only(rows: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def flush(digests: DataFrame, runs: int = RUNS) -> str:
-    """Write (doc_id, digest) rows as sorted runs of (digest, keep_id, n) and return their folder."""
-    path = scratch_path(digests.sparkSession, "lsm-runs")
+    """Write (doc_id, digest) rows as sorted runs of (run, digest, keep_id, n) and return their folder.
+
+    Each file's Bloom filter is sized for the digests that it may hold, so that many small files stay small.
+    """
+    spark = digests.sparkSession
+    path = scratch_path(spark, "lsm-runs")
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
         digests.withColumn("run", F.pmod(F.xxhash64("doc_id"), F.lit(runs)).cast("int"))
-        .groupBy("digest", "run")
+        .groupBy("run", "digest")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))
         .sortWithinPartitions("run", "digest")
-        .write.partitionBy("run")
-        .option("compression", "zstd")
+        .write.option("compression", "zstd")
         .option("parquet.bloom.filter.enabled#digest", "true")
+        .option("parquet.bloom.filter.expected.ndv#digest", str(max(256, 2 * digests.count() // files)))
         .option("parquet.bloom.filter.max.bytes", str(1 << 20))
         .parquet(path)
     )
