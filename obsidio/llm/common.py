@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -81,7 +82,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BY
         if not batch.num_rows:
             continue
         col = batch.column(batch.schema.get_field_index(column))
-        size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64)
+        size = np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64)
         piece = (np.cumsum(size) - size) // limit
         cuts = [0, *(np.flatnonzero(np.diff(piece)) + 1).tolist(), batch.num_rows]
         for a, b in zip(cuts, cuts[1:], strict=False):
