@@ -30,6 +30,14 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .exact_dedup import exact_dedup
 
@@ -48,6 +56,7 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_language_id": op3_language_id,
+    "op6_quality": op6_quality,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe_automaton": op10_bpe_automaton,
 }
