@@ -15,6 +15,9 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Python code holds at most this many bytes of text at a time, one longer text aside.
 SLICE_BYTES = 4 << 20
 
+#: Bits of the bitmap of ``maybe_in``. 2 ** 24 bits make 512 rows of 4 KB: what is broadcast is 2 MB at most, for any input.
+FILTER_BITS = 24
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor and the driver see.
@@ -68,6 +71,23 @@ def unit_hash(col: Column, seed: int) -> Column:
     return F.pmod(F.xxhash64(col, F.lit(seed)), F.lit(1 << 40)) / F.lit(float(1 << 40))
 
 
+def maybe_in(rows: DataFrame, ids: DataFrame, key: str, keep: bool = True) -> DataFrame:
+    """Rows of ``rows`` whose ``key`` may be among those of ``ids``: all that are, and few others. No rows are shuffled.
+
+    The ids are hashed into a bitmap of 2 ** FILTER_BITS bits, which is broadcast. With ``keep`` off, the rows left out.
+    """
+    slot = F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
+    bitmaps = (
+        ids.select(slot.alias("_slot"))
+        .groupBy(F.expr("bitmap_bucket_number(_slot)").alias("_bucket"))
+        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(_slot))").alias("_bits"))
+    )
+    probed = rows.withColumn("_slot", slot).withColumn("_bucket", F.expr("bitmap_bucket_number(_slot)"))
+    byte = "conv(hex(substring(_bits, cast(bitmap_bit_position(_slot) div 8 as int) + 1, 1)), 16, 10)"
+    hit = F.expr(f"coalesce((shiftright(cast({byte} as int), cast(bitmap_bit_position(_slot) % 8 as int)) & 1) = 1, false)")
+    return probed.join(F.broadcast(bitmaps), "_bucket", "left").filter(hit if keep else ~hit).select(*rows.columns)
+
+
 def bounded_sample(df: DataFrame, key: Column, most: int, seed: int) -> DataFrame:
     """About ``most`` rows of ``df`` at most, chosen by the hash of ``key``; all of them where there are no more."""
     n = df.count()

@@ -12,10 +12,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, materialise, scratch_path
+from .common import ascii_lower, materialise, maybe_in, scratch_path
 
-#: Bits of the hit bitmap. 2 ** 24 bits make 512 rows of 4 KB: what is broadcast is 2 MB at most, for any input.
-FILTER_BITS = 24
 #: Runs that a flush writes.
 RUNS = 4
 
@@ -24,24 +22,6 @@ def sha256_digest(text: Column) -> Column:
     return F.sha2(text, 256)
 
 
-def _hits_only(rows: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``rows`` whose id may be in ``ids``; no row of ``ids`` is lost. Both have a column ``doc_id``."""
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    bitmaps = (
-        ids.select(slot.alias("slot"))
-        .groupBy(F.expr("bitmap_bucket_number(slot)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(slot))").alias("bits"))
-    )
-    probed = rows.withColumn("slot", slot).withColumn("bucket", F.expr("bitmap_bucket_number(slot)"))
-    found = probed.join(F.broadcast(bitmaps), "bucket").filter(
-        F.expr(
-            "(shiftright(cast(conv(hex(substring(bits, cast(bitmap_bit_position(slot) div 8 as int) + 1, 1)), 16, 10) as int), "
-            "cast(bitmap_bit_position(slot) % 8 as int)) & 1) = 1"
-        )
-    )
-    return found.select(*rows.columns)
-
-
 def flush(digests: DataFrame, runs: int = RUNS) -> str:
     """Write (doc_id, digest) rows as sorted runs of (run, digest, keep_id, n) and return their folder.
 
@@ -90,7 +70,7 @@ def exact_dedup(docs: DataFrame, digest=sha256_digest) -> DataFrame:
     index = materialise(compact(runs).sortWithinPartitions("digest"), "lsm-compacted")
     placed = materialise(log.join(index, "digest"), "lsm-placed")
 
-    hits = _hits_only(texts, placed.filter(F.col("n") > 1).select("doc_id"))
+    hits = maybe_in(texts, placed.filter(F.col("n") > 1), "doc_id")
     verified = materialise(
         hits.groupBy(digest(F.col("norm")).alias("digest"), "norm")
         .agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("n"))

@@ -30,6 +30,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import archive
+
+    return archive(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import quality
 
@@ -62,6 +68,7 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_language_id": op3_language_id,
+    "op5_warc": op5_warc,
     "op6_quality": op6_quality,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_exact_dedup": op9_exact_dedup,
@@ -71,6 +78,16 @@ QUERIES = {
 _NORM = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE = {
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, h, sha1(h) AS x, max(page_id) OVER (PARTITION BY h) AS first_id FROM p)
+        SELECT page_id, CAST(octet_length(encode(h)) AS BIGINT) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   CAST(1 + ((CAST('0x' || substr(x, CAST(1 + 5 * (k // 4) AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31) AS BIGINT), 1)), '')
+                   AS payload_digest,
+               CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM d""",
     "op8_exact_top_k": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
