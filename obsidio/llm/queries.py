@@ -30,6 +30,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .tokencount import count_edited, scripted_edits
+
+    return count_edited(scripted_edits(table(spark, sf_dir, "documents"))).drop("text")
+
+
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .warc import archive
 
@@ -44,6 +50,12 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .topk import top_k
 
@@ -68,8 +80,10 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op3_language_id": op3_language_id,
+    "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
     "op6_quality": op6_quality,
+    "op7_pfair_mixing": op7_pfair_mixing,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_bpe_automaton": op10_bpe_automaton,
