@@ -22,6 +22,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .neardup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import langid
 
@@ -79,6 +85,7 @@ def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_toxicity": op1_toxicity,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_language_id": op3_language_id,
     "op4_token_counts": op4_token_counts,
     "op5_warc": op5_warc,
