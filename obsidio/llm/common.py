@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -40,14 +41,25 @@ def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, tag)
     df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Delete a scratch table whose readers are done."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+def release(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps. They stay until the driver collects its garbage, which it may not do
+    for long: it is asked to here."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialise`` wrote and that nothing reads any more, and the shuffles of finished steps."""
+    for df in tables:
+        context = df.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    release(tables[0].sparkSession)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_sample, materialise, maybe_in, slices
+from .common import bounded_sample, discard, materialise, maybe_in, release, slices
 from .components import connected_components
 
 WORDS = 5
@@ -31,7 +31,7 @@ LEAST_SHARED = 80
 #: Bits of a token bitmap.
 BITS = 2048
 #: Texts that the sample of frequent tokens reads at most, tokens that it keeps at most, and texts that each is in.
-SAMPLE, FREQUENT, IN_TEXTS = 20_000, 50_000, 8
+SAMPLE, FREQUENT, IN_TEXTS = 30_000, 200_000, 3
 #: Members of a leaf, and children of a tree node.
 FANOUT = 8
 #: Members of a block.
@@ -359,7 +359,7 @@ def _bounded(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs that link, by their whole sets. Only the sets of pairs that pass the bitmaps are moved."""
+    """The pairs that link, by their whole sets, written. Only the sets of pairs that pass the bitmaps are moved."""
     close = materialise(_bounded(pairs, signatures), "sig-close")
     needed = materialise(close.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(signatures.select("node", "part"), "node"), "sig-needed")
     carriers = maybe_in(sets.filter("part is not null").select("node", "part", "prefix", "rest"), needed, "node")
@@ -379,7 +379,9 @@ def verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFr
                     b.append(col("b")[k].as_py())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
-    return close.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+    links = materialise(close.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long"), "sig-links")
+    discard(close, needed, whole)
+    return links
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -402,8 +404,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     signatures = materialise(sets.filter("part is not null").select("node", "part", "n", "bitmap").join(classes.select("node", "part"), ["node", "part"]), "sig-signatures", "lz4")
 
     groups = materialise(token_groups(sets), "sig-groups")
+    release(docs.sparkSession)
     stars = groups.filter("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
-    links = materialise(verified(stars, signatures, sets), "sig-links")
+    links = verified(stars, signatures, sets)
     comps = materialise(connected_components(links), "sig-comps")
 
     labelled = materialise(
@@ -412,14 +415,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_groups = materialise(labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token"), "sig-open")
     members = labelled.join(open_groups, "token").join(signatures.select("node", "n", "bitmap"), "node").select("token", "node", "comp", "n", "bitmap")
     members = materialise(members, "sig-members")
-    more = materialise(verified(materialise(tree_pairs(members), "sig-pairs"), signatures, sets), "sig-more")
+    pairs = materialise(tree_pairs(members), "sig-pairs")
+    discard(members, labelled, groups)
+    more = verified(pairs, signatures, sets)
     if not more.isEmpty():
         comps = materialise(connected_components(links.unionByName(more)), "sig-comps")
 
     named = materialise(classes.join(comps, "node", "left").select("node", "class_id", F.coalesce("comp", "node").alias("comp")), "sig-named")
     lowest = materialise(named.groupBy("comp").agg(F.min("class_id").alias("component_id")), "sig-lowest")
     final = materialise(named.join(lowest, "comp").select("node", "class_id", "component_id"), "sig-final")
-    ids = sets.select("doc_id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
+    ids = materialise(sets.select("doc_id", "n", "node"), "sig-ids")
+    discard(sets, signatures, pairs)
     with_words = ids.filter("n > 0").join(final, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
     without = ids.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     return with_words.unionByName(without)
