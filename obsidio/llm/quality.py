@@ -163,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", most: int =
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull())
     train = rows.join(F.broadcast(known), "doc_id")  # known: two numbers a row, at most `most` rows
     fold = F.pmod(F.xxhash64(F.col("doc_id"), F.lit(99)), F.lit(FOLDS)).cast("int").alias("fold")
-    stats = _statistics(train.select("label", fold, "text")).repartition(PARTS, "fold", "stats").persist()
+    stats = _statistics(train.select("label", fold, "text")).repartition(PARTS).persist()
     try:
         return _solve(stats)
     finally:
