@@ -1 +1,118 @@
-"""Pending."""
+"""Queries over joins that match by text, place or neighbourhood."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions import similarity
+from ..operators import joins
+from ..session import load
+from .registry import query
+
+TAGS = [("red", "colour"), ("blue", "colour"), ("widg", "tool"), ("widget", "tool"), ("small gear", "gear"), ("bol", "short"), ("ring", "jewel"), ("gizmo", "tool")]
+_TAGS = ", ".join(f"('{t}', '{g}')" for t, g in TAGS)
+
+
+@query(f"""
+    SELECT p_partkey, string_agg(DISTINCT grp, ',' ORDER BY grp) AS groups, count(DISTINCT tag) AS n FROM part, (VALUES {_TAGS}) v(tag, grp)
+    WHERE lower(p_name) = tag OR list_contains(regexp_split_to_array(lower(p_name), '[^a-z0-9]+'), tag)
+        OR (length(tag) >= 6 AND len(list_filter(regexp_split_to_array(lower(p_name), '[^a-z0-9]+'), lambda w: starts_with(w, tag))) > 0) GROUP BY 1""")
+def or_join_taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tags = spark.createDataFrame(TAGS, "tag string, grp string")
+    found = joins.tag_join(load(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", tags)
+    return found.groupBy("p_partkey").agg(F.array_join(F.array_sort(F.collect_set("grp")), ",").alias("groups"), F.countDistinct("tag").alias("n"))
+
+
+PATTERNS = [("bolt", "fastener", 2), ("red", "colour", 3), ("ing", "ending", 1), ("small", "size", 3), ("gear", "drive", 1), ("widget", "tool", 2)]
+_PATTERNS = ", ".join(f"('{p}', '{d}', {n})" for p, d, n in PATTERNS)
+
+
+@query(f"""
+    SELECT p_partkey, dish, pattern FROM part LEFT JOIN LATERAL (
+        SELECT * FROM (VALUES {_PATTERNS}) v(pattern, dish, priority) WHERE regexp_matches(p_name, '(^|[^a-z0-9])' || pattern) ORDER BY priority, length(pattern) DESC, pattern LIMIT 1) ON true""")
+def pattern_join_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    patterns = spark.createDataFrame(PATTERNS, "pattern string, dish string, priority int")
+    return joins.pattern_join(load(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", patterns, "pattern", "priority").select("p_partkey", "dish", "pattern")
+
+
+@query("""
+    SELECT community, count(*) AS customers, count(DISTINCT n_name) AS nations FROM (
+        SELECT r_name AS community, list(n_name) || ['NATION_0'] AS members FROM region JOIN nation ON n_regionkey = r_regionkey GROUP BY 1)
+    JOIN nation ON list_contains(members, n_name) JOIN customer ON c_nationkey = n_nationkey GROUP BY 1""")
+def array_membership_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    region, nation, customer = (load(spark, sf_dir, t) for t in ("region", "nation", "customer"))
+    communities = region.join(nation, region["r_regionkey"] == nation["n_regionkey"]).groupBy(F.col("r_name").alias("community")).agg(F.concat(F.collect_list("n_name"), F.array(F.lit("NATION_0"))).alias("members"))
+    found = joins.membership_join(communities, nation, "members", "n_name").join(customer, F.col("n_nationkey") == customer["c_nationkey"])
+    return found.groupBy("community").agg(F.count(F.lit(1)).alias("customers"), F.countDistinct("n_name").alias("nations"))
+
+
+@query("""
+    WITH p AS (SELECT c_custkey, c_mktsegment, c_custkey * 7919 % 60 AS r, c_custkey * 104729 % 60 AS c FROM customer)
+    SELECT a.c_custkey, count(*) AS neighbours FROM p a JOIN p b ON a.c_mktsegment = b.c_mktsegment AND abs(a.r - b.r) <= 2 AND abs(a.c - b.c) <= 2 AND a.c_custkey <> b.c_custkey GROUP BY 1""")
+def ring_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    points = load(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", (F.col("c_custkey") * 7919 % 60).alias("r"), (F.col("c_custkey") * 104729 % 60).alias("c"))
+    return joins.ring_join(points, "c_custkey", "r", "c", 2, ["c_mktsegment"]).groupBy("c_custkey").agg(F.count(F.lit(1)).alias("neighbours"))
+
+
+RING = ((13.1003, 52.3004), (13.9001, 52.3507), (13.7006, 52.8003), (13.4004, 52.5002), (13.1507, 52.7506))
+
+
+def _ring_sql(x: str, y: str) -> str:
+    edges = list(zip(RING, [*RING[1:], RING[0]], strict=True))
+    parts = [f"CAST(({y} >= {min(y1, y2)} AND {y} < {max(y1, y2)} AND {x} < {x1} + ({y} - {y1}) * {(x2 - x1) / (y2 - y1)!r}) AS INTEGER)" for (x1, y1), (x2, y2) in edges if y1 != y2]
+    return f"({' + '.join(parts)}) % 2 = 1"
+
+
+_LON, _LAT = "13.0::DOUBLE + (c_custkey * 7919 % 1000) / 1000.0::DOUBLE", "52.2::DOUBLE + (c_custkey * 104729 % 700) / 1000.0::DOUBLE"
+
+
+@query(f"SELECT c_custkey, {_ring_sql('lon', 'lat')} AS inside FROM (SELECT c_custkey, {_LON} AS lon, {_LAT} AS lat FROM customer)")
+def point_in_polygon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _placed(spark, sf_dir, "customer", "c_custkey").select("c_custkey", joins.point_in_polygon(F.col("lon"), F.col("lat"), RING).alias("inside"))
+
+
+def _placed(spark: SparkSession, sf_dir: str, table: str, key: str) -> DataFrame:
+    """Rows with a place that their key gives them."""
+    lon = F.lit(13.0) + (F.col(key) * 7919 % 1000) / F.lit(1000.0)
+    lat = F.lit(52.2) + (F.col(key) * 104729 % 700) / F.lit(1000.0)
+    return load(spark, sf_dir, table).withColumn("lon", lon).withColumn("lat", lat)
+
+
+@query(f"""
+    WITH p AS (SELECT c_custkey AS k, {_LON} AS lon, {_LAT} AS lat FROM customer)
+    SELECT a, b, CAST(floor(m) AS BIGINT) AS metres FROM (SELECT a.k AS a, b.k AS b, 2 * 6371000 * asin(least(1, sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2)))) AS m
+        FROM p a JOIN p b ON a.k < b.k) WHERE m <= 3000""")
+def haversine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = joins.pairs_within(_placed(spark, sf_dir, "customer", "c_custkey"), "c_custkey", "lat", "lon", 3000.0)
+    return near.select("a", "b", F.floor("metres").alias("metres"))
+
+
+_PARTS = "SELECT p_partkey AS k, p_name AS name, p_brand AS brand, p_size AS size, p_partkey % 97 AS phone FROM part"
+
+
+@query(f"""
+    WITH p AS ({_PARTS})
+    SELECT a.k AS a, b.k AS b, CASE WHEN a.phone = b.phone AND jaro_winkler_similarity(a.name, b.name) >= 0.75 THEN 'phone+name' ELSE 'address+name' END AS rule
+    FROM p a JOIN p b ON a.k < b.k WHERE (a.phone = b.phone AND jaro_winkler_similarity(a.name, b.name) >= 0.75) OR (a.brand = b.brand AND a.size = b.size AND a.name = b.name)""")
+def deterministic_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each rule is an equi join on its key; names are compared once for each pair of distinct names."""
+    parts = load(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), (F.col("p_partkey") % 97).alias("phone"))
+    a = parts.select(*[F.col(c).alias(f"{c}_a") for c in parts.columns])
+    b = parts.select(*[F.col(c).alias(f"{c}_b") for c in parts.columns])
+    phone = a.join(b, (F.col("phone_a") == F.col("phone_b")) & (F.col("k_a") < F.col("k_b")))
+    names = phone.select("name_a", "name_b").distinct().withColumn("sim", similarity.jaro_winkler("name_a", "name_b")).filter("sim >= 0.75")
+    by_phone = phone.join(names, ["name_a", "name_b"]).select("k_a", "k_b", F.lit("phone+name").alias("rule"))
+    by_place = a.join(b, (F.col("brand_a") == F.col("brand_b")) & (F.col("size_a") == F.col("size_b")) & (F.col("name_a") == F.col("name_b")) & (F.col("k_a") < F.col("k_b"))).select("k_a", "k_b", F.lit("address+name").alias("rule"))
+    both = by_phone.unionByName(by_place).groupBy(F.col("k_a").alias("a"), F.col("k_b").alias("b"))
+    return both.agg(F.max("rule").alias("rule"))
+
+
+@query(f"""
+    WITH p AS ({_PARTS})
+    SELECT count(*) AS pairs, CAST(sum(a * 31 + b) AS BIGINT) AS checksum FROM (SELECT DISTINCT a.k AS a, b.k AS b FROM p a JOIN p b ON a.k < b.k
+        AND (a.phone = b.phone OR (a.brand = b.brand AND a.size = b.size) OR (a.name = b.name AND a.size = b.size) OR a.k // 5 = b.k // 5 OR (left(a.name, 3) = left(b.name, 3) AND a.brand = b.brand)))""")
+def blocking_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = load(spark, sf_dir, "part")
+    text = lambda *cs: F.concat_ws("|", *[c if not isinstance(c, str) else F.col(c).cast("string") for c in cs])
+    blocks = [(F.col("p_partkey") % 97), text("p_brand", "p_size"), text("p_name", "p_size"), F.floor(F.col("p_partkey") / 5), text(F.substring("p_name", 1, 3), "p_brand")]
+    return joins.union_blocks(parts, "p_partkey", blocks).agg(F.count(F.lit(1)).alias("pairs"), F.sum(F.col("a") * 31 + F.col("b")).alias("checksum"))
