@@ -113,6 +113,11 @@ def prefix_size(n: int) -> int:
     return n - -(-LEAST_SHARED * n // 100) + 1
 
 
+def _name(tokens: np.ndarray) -> int:
+    """A set's name; 0 for the empty one."""
+    return int(_mix(tokens * _PLACES[0]).sum(dtype=np.uint64).astype(np.int64)) if len(tokens) else 0
+
+
 def bitmap(tokens: np.ndarray) -> np.ndarray:
     """BITS bits, one set for each token, as 64-bit words."""
     bits = np.zeros(BITS, bool)
@@ -146,7 +151,8 @@ def frequent_tokens(docs: DataFrame) -> np.ndarray:
 
 def shingle_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
     """Of each text: size and 128-bit name (node, check) of its set. The first text of a task with a set also carries
-    the set: its bitmap, the prefix, in the common order, and the rest; ``part`` is the task, else null."""
+    its bitmap and its prefix in the common order; ``part`` is the task, else null. Whole sets aren't kept: those that
+    are needed are made again."""
     by_value = np.argsort(frequent)
     known, rank = frequent[by_value], by_value
 
@@ -154,16 +160,16 @@ def shingle_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         shingler, seen, part = Shingler(), set(), TaskContext.get().partitionId()
         for piece in slices(batches, "text"):
             ids = piece.column(0).to_pylist()
-            sizes, nodes, checks, parts, maps, prefixes, rests = [], [], [], [], [], [], []
+            sizes, nodes, checks, parts, maps, prefixes = [], [], [], [], [], []
             for tokens in shingler.sets(piece.column(1)):
                 n = len(tokens)
-                node = int(_mix(tokens * _PLACES[0]).sum(dtype=np.uint64).astype(np.int64)) if n else 0
+                node = _name(tokens)
                 check = int(_mix(tokens ^ _PLACES[1]).sum(dtype=np.uint64).astype(np.int64)) if n else 0
                 sizes.append(n)
                 nodes.append(node)
                 checks.append(check)
                 if not n or (node, check) in seen:
-                    parts.append(None), maps.append(None), prefixes.append(None), rests.append(None)
+                    parts.append(None), maps.append(None), prefixes.append(None)
                     continue
                 seen.add((node, check))
                 if len(known):
@@ -176,17 +182,16 @@ def shingle_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 parts.append(part)
                 maps.append(bitmap(tokens).tobytes())
                 prefixes.append(tokens[:p].view(np.int64))
-                rests.append(tokens[p:].tobytes())
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()),
-                    pa.array(parts, pa.int32()), pa.array(maps, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(rests, pa.binary()),
+                    pa.array(parts, pa.int32()), pa.array(maps, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "node", "check", "part", "bitmap", "prefix", "rest"],
+                ["doc_id", "n", "node", "check", "part", "bitmap", "prefix"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, node long, check long, part int, bitmap binary, prefix array<long>, rest binary")
+    return rows.mapInArrow(run, "doc_id long, n long, node long, check long, part int, bitmap binary, prefix array<long>")
 
 
 def token_groups(sets: DataFrame) -> DataFrame:
@@ -358,25 +363,44 @@ def _bounded(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, signatures: DataFrame, sets: DataFrame) -> DataFrame:
+def whole_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
+    """(node, tokens) of the needed nodes (node, class_id), made from the text of the class's first document.
+
+    Other texts are dropped by a bitmap over ids before they are read into sets, and none of them is shuffled.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for piece in slices(batches, "text"):
+            sets = shingler.sets(piece.column(1))
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), pa.array([_name(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["doc_id", "node", "tokens"]
+            )
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = maybe_in(rows, needed.select(F.col("class_id").alias("doc_id")), "doc_id")
+    made = rows.mapInArrow(run, "doc_id long, node long, tokens binary").join(needed, "node").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return made.dropDuplicates(["node"]).select("node", "tokens")
+
+
+def verified(pairs: DataFrame, signatures: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
     """The pairs that link, by their whole sets, written. Only the sets of pairs that pass the bitmaps are moved."""
     close = materialise(_bounded(pairs, signatures), "sig-close")
-    needed = materialise(close.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(signatures.select("node", "part"), "node"), "sig-needed")
-    carriers = maybe_in(sets.filter("part is not null").select("node", "part", "prefix", "rest"), needed, "node")
-    whole = materialise(carriers.join(needed, ["node", "part"]), "sig-whole", "lz4")
-    left, right = (whole.select(F.col("node").alias(k), F.col("prefix").alias(f"p_{k}"), F.col("rest").alias(f"r_{k}")) for k in "ab")
+    needed = materialise(close.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "class_id"), "node"), "sig-needed")
+    whole = materialise(whole_sets(docs, needed), "sig-whole", "lz4")
+    release(docs.sparkSession)
+    left, right = (whole.select(F.col("node").alias(k), F.col("tokens").alias(f"t_{k}")) for k in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            col = lambda c: batch.column(batch.schema.get_field_index(c))  # noqa: E731, B023
-            tokens = lambda p, r: np.concatenate((np.asarray(p.values, dtype=np.int64).view(np.uint64), np.frombuffer(r.as_py(), np.uint64)))
+            ids_a, ids_b, sets_a, sets_b = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "t_a", "t_b"))
             for k in range(batch.num_rows):
-                x, y = tokens(col("p_a")[k], col("r_a")[k]), tokens(col("p_b")[k], col("r_b")[k])
+                x, y = np.frombuffer(sets_a[k].as_py(), np.uint64), np.frombuffer(sets_b[k].as_py(), np.uint64)
                 shared = len(np.intersect1d(x, y, assume_unique=True))
                 if 100 * shared >= LEAST_SHARED * (len(x) + len(y) - shared):
-                    a.append(col("a")[k].as_py())
-                    b.append(col("b")[k].as_py())
+                    a.append(ids_a[k].as_py())
+                    b.append(ids_b[k].as_py())
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     links = materialise(close.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long"), "sig-links")
@@ -406,7 +430,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     groups = materialise(token_groups(sets), "sig-groups")
     release(docs.sparkSession)
     stars = groups.filter("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
-    links = verified(stars, signatures, sets)
+    links = verified(stars, signatures, classes, docs)
     comps = materialise(connected_components(links), "sig-comps")
 
     labelled = materialise(
@@ -417,7 +441,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = materialise(members, "sig-members")
     pairs = materialise(tree_pairs(members), "sig-pairs")
     discard(members, labelled, groups)
-    more = verified(pairs, signatures, sets)
+    more = verified(pairs, signatures, classes, docs)
     if not more.isEmpty():
         comps = materialise(connected_components(links.unionByName(more)), "sig-comps")
 
