@@ -1 +1,129 @@
-"""Pending."""
+"""Queries over entity resolution, with parts as listings."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..operators import joins, resolve, windows
+from ..session import load
+from .registry import query
+
+
+def written(spark: SparkSession):
+    """Tables of a step go to the shared folder and come back."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="obsidio-")
+
+    def checkpoint(df: DataFrame) -> DataFrame:
+        path = f"{base}/steps/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    return checkpoint
+
+
+def _listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_partkey")
+    return load(spark, sf_dir, "part").select(
+        k.alias("k"), F.col("p_name").alias("name"), F.col("p_brand").alias("brand"), F.col("p_size").alias("size"), (k % 97).alias("phone"), (k % 5).alias("platform"),
+        (F.lit(52.3) + (k * 31 % 400) / 1000.0).alias("lat"), (F.lit(13.1) + (k * 17 % 600) / 1000.0).alias("lon"),
+    )
+
+
+def _gammas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs that share a phone or a brand and size, compared by name, brand, size and phone."""
+    rows = _listings(spark, sf_dir)
+    pairs = joins.union_blocks(rows, "k", [F.col("phone"), F.concat_ws("|", "brand", F.col("size").cast("string"))])
+    a = rows.select(*[F.col(c).alias(f"{c}_a") for c in rows.columns])
+    b = rows.select(*[F.col(c).alias(f"{c}_b") for c in rows.columns])
+    both = pairs.join(a, pairs["a"] == F.col("k_a")).join(b, F.col("b") == F.col("k_b"))
+    shared = F.size(F.array_intersect(F.split("name_a", " "), F.split("name_b", " ")))
+    return both.select(
+        "a", "b", F.when(F.col("name_a") == F.col("name_b"), 2).when(shared > 0, 1).otherwise(0).alias("g_name"), (F.col("brand_a") == F.col("brand_b")).cast("int").alias("g_brand"),
+        (F.abs(F.col("size_a") - F.col("size_b")) <= 2).cast("int").alias("g_size"), (F.col("phone_a") == F.col("phone_b")).cast("int").alias("g_phone"),
+    )
+
+
+@query()
+def fs_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = resolve.match_scores(_gammas(spark, sf_dir), ["g_name", "g_brand", "g_size", "g_phone"], [3, 2, 2, 2], fixed_m={0: [0.1, 0.3, 0.6]})
+    return scored.select("a", "b", F.round("match_weight", 6).alias("match_weight"), F.round("match_prob", 6).alias("match_prob"))
+
+
+def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = _gammas(spark, sf_dir)
+    return g.filter((F.col("g_name") == 2) & (F.col("g_brand") + F.col("g_size") >= 1)).select("a", "b", ((F.col("g_name") + F.col("g_brand") + F.col("g_size") + F.col("g_phone")) / 5).alias("p"))
+
+
+_PAIRS = """
+    WITH RECURSIVE p AS (SELECT p_partkey AS k, p_name AS name, p_brand AS brand, p_size AS size, p_partkey % 97 AS phone FROM part),
+    e AS (SELECT a.k AS a, b.k AS b FROM p a JOIN p b ON a.k < b.k AND (a.phone = b.phone OR (a.brand = b.brand AND a.size = b.size)) AND a.name = b.name AND (a.brand = b.brand OR abs(a.size - b.size) <= 2)),
+    s AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+    r AS (SELECT a AS node, a AS comp FROM s UNION SELECT s.b, r.comp FROM r JOIN s ON s.a = r.node WHERE r.comp < s.b)"""
+
+
+@query(_PAIRS + " SELECT node, min(comp) AS comp FROM r GROUP BY 1")
+def connected_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resolve.components(_edges(spark, sf_dir), written(spark))
+
+
+@query()
+def constrained_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keep = written(spark)
+    edges = keep(_edges(spark, sf_dir))
+    nodes = _listings(spark, sf_dir).select(F.col("k").alias("node"), F.col("platform").cast("string").alias("kind"), "lat", "lon")
+    return resolve.constrained_clusters(edges, nodes, resolve.components(edges, keep), ["0", "1", "2"], 40_000.0)
+
+
+@query()
+def stable_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ledger of brands carried over to clusters of brand and size class: counts of changes by kind."""
+    parts = load(spark, sf_dir, "part")
+    previous = parts.filter("p_partkey % 7 <> 0").select(F.col("p_partkey").alias("key"), F.concat(F.lit("old:"), F.col("p_brand")).alias("business_id"))
+    clusters = parts.select(F.col("p_partkey").alias("key"), F.concat_ws("|", "p_brand", F.floor(F.col("p_size") / 20).cast("string")).alias("cluster"))
+    _, changes = resolve.stable_ids(previous, clusters)
+    return changes.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+    SELECT tp, fp, fn, round(tp / nullif(tp + fp, 0), 6) AS precision, round(tp / nullif(tp + fn, 0), 6) AS recall FROM (
+        SELECT count(*) FILTER (hit AND quality = 1) AS tp, count(*) FILTER (hit AND quality = 0) AS fp, count(*) FILTER (NOT hit AND quality = 1) AS fn
+        FROM (SELECT quality, n_chars > 400 AS hit FROM labels JOIN documents USING (doc_id)))""")
+def pair_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = load(spark, sf_dir, "labels").join(load(spark, sf_dir, "documents").select("doc_id", (F.col("n_chars") > 400).alias("hit")), "doc_id")
+    count = lambda c: F.count(F.when(c, 1))
+    good = F.col("quality") == 1
+    out = rows.agg(count(F.col("hit") & good).alias("tp"), count(F.col("hit") & (F.col("quality") == 0)).alias("fp"), count(~F.col("hit") & good).alias("fn"))
+    return out.select("*", F.round(F.col("tp") / F.expr("nullif(tp + fp, 0)"), 6).alias("precision"), F.round(F.col("tp") / F.expr("nullif(tp + fn, 0)"), 6).alias("recall"))
+
+
+@query("""
+    WITH t AS (SELECT DISTINCT p_partkey, unnest(string_split(p_name, ' ')) AS token FROM part), df AS (SELECT token, count(*) AS df FROM t GROUP BY 1)
+    SELECT p_brand, (SELECT count(*) FROM part q WHERE q.p_brand = p.p_brand) AS locations, token, df, n FROM (
+        SELECT DISTINCT ON (p_brand) p_brand, token, df, count(*) AS n FROM part JOIN t USING (p_partkey) JOIN df USING (token) GROUP BY 1, 2, 3 ORDER BY p_brand, n DESC, token) p
+    WHERE locations >= 3""")
+def brand_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The usual name token of each brand with three parts or more, and in how many names it is."""
+    tokens = load(spark, sf_dir, "part").select("p_partkey", "p_brand", F.explode(F.array_distinct(F.split("p_name", " "))).alias("token"))
+    df = tokens.groupBy("token").agg(F.countDistinct("p_partkey").alias("df"))
+    counts = tokens.join(df, "token").groupBy("p_brand", "token", "df").agg(F.count(F.lit(1)).alias("n"))
+    usual = windows.latest_by(counts, ["p_brand"], [F.desc("n"), F.asc("token")])
+    sizes = load(spark, sf_dir, "part").groupBy("p_brand").agg(F.count(F.lit(1)).alias("locations"))
+    return usual.join(sizes, "p_brand").filter("locations >= 3").select("p_brand", "locations", "token", "df", "n")
+
+
+@query("""
+    SELECT s_suppkey, score, CASE WHEN score >= 0.75 THEN 'auto' WHEN score < 0.4 THEN 'rejected' ELSE 'review' END AS decision FROM (
+        SELECT s_suppkey, round(greatest(0.0, least(1.0, CASE WHEN s_acctbal > 0 THEN 0.55 ELSE 0 END + 0.25 * CAST(s_suppkey % 2 = 0 AS INTEGER) + CASE WHEN s_suppkey % 3 = 0 THEN 0.25 WHEN s_suppkey % 3 = 1 THEN 0.1 ELSE 0 END
+            - CASE WHEN c > 6 THEN 0.6 ELSE 0 END))::DOUBLE, 6) AS score FROM supplier JOIN (SELECT s_nationkey, count(*) AS c FROM supplier GROUP BY 1) USING (s_nationkey))""")
+def social_link_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Additive evidence: own page, directory tags, likeness of the handle, and a handle that many claim."""
+    suppliers = load(spark, sf_dir, "supplier")
+    claims = suppliers.groupBy("s_nationkey").agg(F.count(F.lit(1)).alias("c"))
+    rows = suppliers.join(claims, "s_nationkey")
+    k = F.col("s_suppkey")
+    total = F.when(F.col("s_acctbal") > 0, 0.55).otherwise(0.0) + 0.25 * (k % 2 == 0).cast("int") + F.when(k % 3 == 0, 0.25).when(k % 3 == 1, 0.1).otherwise(0.0) - F.when(F.col("c") > 6, 0.6).otherwise(0.0)
+    score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), total)), 6)
+    return rows.select("s_suppkey", score.alias("score")).withColumn("decision", F.when(F.col("score") >= 0.75, "auto").when(F.col("score") < 0.4, "rejected").otherwise("review"))
