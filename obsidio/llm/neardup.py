@@ -35,7 +35,7 @@ SAMPLE, FREQUENT, IN_TEXTS = 30_000, 200_000, 3
 #: Members of a leaf, and children of a tree node.
 FANOUT = 8
 #: Members of a block.
-BLOCK = 128
+BLOCK = 512
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -363,6 +363,49 @@ def _bounded(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
+def _order_keys(tokens: np.ndarray, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """Numbers that sort tokens in the common order: rare ones by hash, then the frequent ones by rank."""
+    keys = tokens >> np.uint64(1)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+        often = known[at] == tokens
+        keys[often] = np.uint64(1 << 63) + rank[at[often]].astype(np.uint64)
+    return keys
+
+
+def prefix_allows(x: np.ndarray, y: np.ndarray, n_x: int, n_y: int, keys_x: np.ndarray, keys_y: np.ndarray) -> bool:
+    """Whether two sets can link, by their prefixes: up to the end of the one that ends first, all their tokens are known,
+    and beyond it they share as many as the smaller rest has at most."""
+    edge = min(keys_x[-1], keys_y[-1])
+    seen_x, seen_y = int(np.searchsorted(keys_x, edge, side="right")), int(np.searchsorted(keys_y, edge, side="right"))
+    most = len(np.intersect1d(x[:seen_x], y[:seen_y], assume_unique=True)) + min(n_x - seen_x, n_y - seen_y)
+    return (100 + LEAST_SHARED) * most >= LEAST_SHARED * (n_x + n_y)
+
+
+def _prefixed(pairs: DataFrame, sets: DataFrame, signatures: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """The pairs whose prefixes allow a link; these are a fifth of the sets, and rule out what shares a passage only."""
+    by_value = np.argsort(frequent)
+    known, rank = frequent[by_value], by_value
+    needed = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(signatures.select("node", "part", "n"), "node"), "sig-prefixed")
+    rows = maybe_in(sets.filter("part is not null").select("node", "part", "prefix"), needed, "node").join(needed, ["node", "part"])
+    rows = materialise(rows.select("node", "n", "prefix"), "sig-prefixes", "lz4")
+    left, right = (rows.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("prefix").alias(f"p_{k}")) for k in "ab")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, n_a, n_b = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("a", "b", "n_a", "n_b"))
+            p_a, p_b = (batch.column(batch.schema.get_field_index(c)) for c in ("p_a", "p_b"))
+            keep = np.zeros(len(a), bool)
+            for k in range(len(a)):
+                x, y = (np.asarray(p[k].values, dtype=np.int64).view(np.uint64) for p in (p_a, p_b))
+                keep[k] = prefix_allows(x, y, int(n_a[k]), int(n_b[k]), _order_keys(x, known, rank), _order_keys(y, known, rank))
+            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
+
+    out = materialise(pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long"), "sig-allowed")
+    discard(needed, rows)
+    return out
+
+
 def whole_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     """(node, tokens) of the needed nodes (node, class_id), made from the text of the class's first document.
 
@@ -383,9 +426,11 @@ def whole_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
     return made.dropDuplicates(["node"]).select("node", "tokens")
 
 
-def verified(pairs: DataFrame, signatures: DataFrame, classes: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs that link, by their whole sets, written. Only the sets of pairs that pass the bitmaps are moved."""
-    close = materialise(_bounded(pairs, signatures), "sig-close")
+def verified(pairs: DataFrame, signatures: DataFrame, classes: DataFrame, sets: DataFrame, docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """The pairs that link, by their whole sets, written. Only the sets of pairs that pass the bitmaps, then the prefixes,
+    are moved."""
+    near = materialise(_bounded(pairs, signatures), "sig-near")
+    close = _prefixed(near, sets, signatures, frequent)
     needed = materialise(close.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "class_id"), "node"), "sig-needed")
     whole = materialise(whole_sets(docs, needed), "sig-whole", "lz4")
     release(docs.sparkSession)
@@ -404,7 +449,7 @@ def verified(pairs: DataFrame, signatures: DataFrame, classes: DataFrame, docs:
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
     links = materialise(close.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long"), "sig-links")
-    discard(close, needed, whole)
+    discard(near, close, needed, whole)
     return links
 
 
@@ -420,7 +465,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and class_id (the smallest doc_id
     of the same set).
     """
-    sets = materialise(shingle_sets(docs, frequent_tokens(docs)), "sig-sets", "lz4")
+    frequent = frequent_tokens(docs)
+    sets = materialise(shingle_sets(docs, frequent), "sig-sets", "lz4")
     names = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min("part").alias("part"), F.min("check").alias("c0"), F.max("check").alias("c1"))
     classes = materialise(names, "sig-classes")
     if not classes.filter("c0 <> c1").isEmpty():
@@ -430,18 +476,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     groups = materialise(token_groups(sets), "sig-groups")
     release(docs.sparkSession)
     stars = groups.filter("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
-    links = verified(stars, signatures, classes, docs)
+    links = verified(stars, signatures, classes, sets, docs, frequent)
     comps = materialise(connected_components(links), "sig-comps")
 
     labelled = materialise(
-        groups.select("token", "node").join(comps, "node", "left").select("token", "node", F.coalesce("comp", "node").alias("comp")), "sig-labelled"
+        groups.join(comps, "node", "left").select("token", "node", "first", F.coalesce("comp", "node").alias("comp")), "sig-labelled"
+    )
+    # a group of two in one part has had its one pair verified
+    spans = labelled.groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("first").alias("f0"), F.max("first").alias("f1"), F.count(F.lit(1)).alias("size")
     )
-    open_groups = materialise(labelled.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("token"), "sig-open")
+    open_groups = materialise(spans.filter("lo <> hi and (size > 2 or f0 <> f1)").select("token"), "sig-open")
     members = labelled.join(open_groups, "token").join(signatures.select("node", "n", "bitmap"), "node").select("token", "node", "comp", "n", "bitmap")
     members = materialise(members, "sig-members")
     pairs = materialise(tree_pairs(members), "sig-pairs")
     discard(members, labelled, groups)
-    more = verified(pairs, signatures, classes, docs)
+    more = verified(pairs, signatures, classes, sets, docs, frequent)
     if not more.isEmpty():
         comps = materialise(connected_components(links.unionByName(more)), "sig-comps")
 
