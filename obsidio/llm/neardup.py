@@ -4,7 +4,8 @@ Every text becomes the set of its distinct five-word shingles. Equal sets form o
 token: by the prefix filter, two sets that reach the similarity share a token among the first few of each in any common
 order, so a node goes to the groups of these tokens; tokens that a sample finds in many texts come last in that order.
 
-1. In each group the nodes are paired with its first one only; these pairs are verified, and give components.
+1. In each group the nodes are paired with its first one only, and so are those of a common minimum hash; then with the
+   group's most central one. These pairs are verified, and give components.
 2. Groups that still hold more than one component get a signature tree: its nodes hold the OR of their members' token
    bitmaps and their size range, and a dual traversal drops pairs of tree nodes by the largest overlap possible, and those
    within one component. Large groups are split into blocks, each pair of blocks a tree join of its own.
@@ -32,6 +33,8 @@ LEAST_SHARED = 80
 BITS = 2048
 #: Texts that the sample of frequent tokens reads at most, tokens that it keeps at most, and texts that each is in.
 SAMPLE, FREQUENT, IN_TEXTS = 30_000, 200_000, 3
+#: Minima of so many hashes bring most near copies to a common first node; they save looks, and no result depends on them.
+SKETCH = 4
 #: Members of a leaf, and children of a tree node.
 FANOUT = 8
 #: Members of a block.
@@ -160,7 +163,7 @@ def shingle_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
         shingler, seen, part = Shingler(), set(), TaskContext.get().partitionId()
         for piece in slices(batches, "text"):
             ids = piece.column(0).to_pylist()
-            sizes, nodes, checks, parts, maps, prefixes = [], [], [], [], [], []
+            sizes, nodes, checks, parts, maps, prefixes, sketches = [], [], [], [], [], [], []
             for tokens in shingler.sets(piece.column(1)):
                 n = len(tokens)
                 node = _name(tokens)
@@ -169,9 +172,10 @@ def shingle_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
                 nodes.append(node)
                 checks.append(check)
                 if not n or (node, check) in seen:
-                    parts.append(None), maps.append(None), prefixes.append(None)
+                    parts.append(None), maps.append(None), prefixes.append(None), sketches.append(None)
                     continue
                 seen.add((node, check))
+                sketches.append([int(_mix(tokens ^ _PLACES[i]).min().astype(np.int64)) for i in range(SKETCH)])
                 if len(known):
                     at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                     often = known[at] == tokens
@@ -185,17 +189,17 @@ def shingle_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()),
-                    pa.array(parts, pa.int32()), pa.array(maps, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())),
+                    pa.array(parts, pa.int32()), pa.array(maps, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n", "node", "check", "part", "bitmap", "prefix"],
+                ["doc_id", "n", "node", "check", "part", "bitmap", "prefix", "sketch"],
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, node long, check long, part int, bitmap binary, prefix array<long>")
+    return rows.mapInArrow(run, "doc_id long, n long, node long, check long, part int, bitmap binary, prefix array<long>, sketch array<long>")
 
 
-def token_groups(sets: DataFrame) -> DataFrame:
-    """(token, node, first) for the prefix tokens that more than one node has; ``first`` is the group's first node.
+def token_groups(sets: DataFrame, column: str = "prefix") -> DataFrame:
+    """(token, node, first) for the tokens in an array column that more than one node has; ``first`` is the group's first node.
 
     Rows are dealt out by ranges of (token, node), so that a frequent token spreads over tasks. Each such part of a group
     has a first node of its own; its runs at a task's ends are kept even if they are single.
@@ -235,7 +239,7 @@ def token_groups(sets: DataFrame) -> DataFrame:
         if len(carried_t):
             yield rows(carried_t, carried_n, True)
 
-    spread = sets.filter("part is not null").select(F.explode("prefix").alias("token"), "node")
+    spread = sets.filter("part is not null").select(F.explode(column).alias("token"), "node")
     return spread.repartitionByRange("token", "node").sortWithinPartitions("token", "node").mapInArrow(run, "token long, node long, first long")
 
 
@@ -292,9 +296,10 @@ def tree_join(a: SignatureTree, b: SignatureTree | None = None) -> tuple[np.ndar
 
 
 def tree_pairs(members: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of different components within groups. ``members``: token, node, comp, n, bitmap.
+    """Candidate pairs (a, b) of different components within groups, and ``shared``, the groups that both are in.
 
-    Groups of more than BLOCK members are split into blocks by a hash; every pair of blocks is joined by itself.
+    ``members``: token, node, comp, n, bitmap. Groups of more than BLOCK members are split into blocks by a hash; every
+    pair of blocks is joined by itself.
     """
     sizes = materialise(members.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "sig-sizes")
     dealt = members.join(sizes, "token").withColumn("own", F.pmod(F.xxhash64("node", "token"), F.col("blocks")).cast("int"))
@@ -338,11 +343,24 @@ def tree_pairs(members: DataFrame) -> DataFrame:
 
     def out(left: list[int], right: list[int]) -> pa.RecordBatch:
         a, b = np.array(left, np.int64), np.array(right, np.int64)
-        pairs = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0) if len(a) else np.zeros((0, 2), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], ["a", "b"])
+        pairs, n = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0, return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n)], ["a", "b", "shared"])
 
     cells = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
-    return cells.mapInArrow(run, "a long, b long").distinct()
+    found = cells.mapInArrow(run, "a long, b long, shared long")
+    return found.groupBy("a", "b").agg(F.sum("shared").alias("shared"))
+
+
+def _share_enough(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
+    """The pairs that can link with as many prefix tokens as they share.
+
+    What two sets share beyond the end of the prefix that ends first is at most what the larger rest holds.
+    """
+    size = [signatures.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}")) for k in "ab"]
+    rest = [F.ceil(F.col(f"n_{k}") * LEAST_SHARED / 100) - 1 for k in "ab"]
+    most = F.col("shared") + F.greatest(*rest)
+    both = pairs.join(size[0], "a").join(size[1], "b")
+    return both.filter((100 + LEAST_SHARED) * most >= LEAST_SHARED * (F.col("n_a") + F.col("n_b"))).select("a", "b")
 
 
 def _bounded(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
@@ -453,6 +471,21 @@ def verified(pairs: DataFrame, signatures: DataFrame, classes: DataFrame, sets:
     return links
 
 
+def _labelled(groups: DataFrame, comps: DataFrame) -> DataFrame:
+    """The groups' rows with their components, written."""
+    return materialise(groups.join(comps, "node", "left").select("token", "node", "first", F.coalesce("comp", "node").alias("comp")), "sig-labelled")
+
+
+def _centres(labelled: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(token, centre, centre_comp) for groups of several components."""
+    company = labelled.groupBy("node").agg(F.count(F.lit(1)).alias("company"))
+    prefix = F.col("n") - F.ceil(F.col("n") * LEAST_SHARED / 100) + 1
+    share = materialise(company.join(signatures.select("node", "n"), "node").select("node", (F.col("company") / prefix).alias("share")), "sig-share")
+    best = F.max(F.struct("share", "node", "comp"))
+    spans = labelled.join(share, "node").groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), best.alias("best")).filter("lo <> hi")
+    return spans.select("token", F.col("best.node").alias("centre"), F.col("best.comp").alias("centre_comp"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Components of texts whose shingle sets reach the Jaccard similarity.
 
@@ -475,13 +508,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     groups = materialise(token_groups(sets), "sig-groups")
     release(docs.sparkSession)
-    stars = groups.filter("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
+    sketched = token_groups(sets, "sketch")
+    stars = groups.unionByName(sketched).filter("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
     links = verified(stars, signatures, classes, sets, docs, frequent)
     comps = materialise(connected_components(links), "sig-comps")
 
-    labelled = materialise(
-        groups.join(comps, "node", "left").select("token", "node", "first", F.coalesce("comp", "node").alias("comp")), "sig-labelled"
-    )
+    # a second star from each group's most central node, that with most of its prefix in company: edits leave tokens alone
+    labelled = _labelled(groups, comps)
+    central = materialise(_centres(labelled, signatures), "sig-centres")
+    again = labelled.join(central, "token").filter("comp <> centre_comp")
+    again = again.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+    links = materialise(links.unionByName(verified(again, signatures, classes, sets, docs, frequent)), "sig-linked")
+    discard(labelled, central)
+    comps = materialise(connected_components(links), "sig-comps")
+    labelled = _labelled(groups, comps)
     # a group of two in one part has had its one pair verified
     spans = labelled.groupBy("token").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("first").alias("f0"), F.max("first").alias("f1"), F.count(F.lit(1)).alias("size")
@@ -489,8 +529,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     open_groups = materialise(spans.filter("lo <> hi and (size > 2 or f0 <> f1)").select("token"), "sig-open")
     members = labelled.join(open_groups, "token").join(signatures.select("node", "n", "bitmap"), "node").select("token", "node", "comp", "n", "bitmap")
     members = materialise(members, "sig-members")
-    pairs = materialise(tree_pairs(members), "sig-pairs")
-    discard(members, labelled, groups)
+    met = materialise(tree_pairs(members), "sig-met")
+    pairs = materialise(_share_enough(met, signatures), "sig-pairs")
+    discard(members, labelled, groups, met)
     more = verified(pairs, signatures, classes, sets, docs, frequent)
     if not more.isEmpty():
         comps = materialise(connected_components(links.unionByName(more)), "sig-comps")
