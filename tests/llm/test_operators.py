@@ -263,6 +263,47 @@ def test_mix_keeps_every_row(spark, odd, empty):
         mixing.mix(docs, {"hot": -1.0})
 
 
+def deviations(slots, weights):
+    """The largest distance of a source from its fluid share after any slot, by exact arithmetic. ``slots``: sources in order of slots."""
+    from fractions import Fraction
+
+    left, weight = collections.Counter(slots), {s: Fraction(w) for s, w in weights.items()}
+    v, at, kinks = Fraction(0), 0, []
+    for s in sorted(left, key=lambda s: left[s] / weight[s]):  # the slot at which v is reached, kink by kink
+        active = sum(weight[x] for x in left if left[x] / weight[x] >= left[s] / weight[s])
+        end = left[s] / weight[s]
+        kinks.append((at, v, active))
+        at, v = at + (end - v) * active, end
+    kinks.append((at, v, Fraction(1)))
+    count, worst, i = dict.fromkeys(left, 0), 0, 0
+    for t, s in enumerate(slots, 1):
+        count[s] += 1
+        while i + 1 < len(kinks) and kinks[i + 1][0] <= t:
+            i += 1
+        now = kinks[i][1] + (t - kinks[i][0]) / kinks[i][2]
+        worst = max(worst, *(float(abs(n - min(weight[x] * now, left[x]))) for x, n in count.items()))
+    return worst
+
+
+def test_mix_keeps_the_bound_over_many_slots(spark):
+    docs = spark.range(30_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("s"), F.col("id") % 19)).alias("source"))
+    sizes = {r[0]: r[1] for r in docs.groupBy("source").count().collect()}
+    for weights in (None, {"hot": 2.5, "s1": 0.013, "s2": 1 / 3}):
+        rows = mixing.mix(docs, weights, block_rows=1).select("source", "slot").toPandas().sort_values("slot")
+        assert rows.slot.tolist() == list(range(30_000))
+        assert deviations(rows.source.tolist(), {s: weights.get(s, 1.0) if weights else n**0.5 for s, n in sizes.items()}) < 1
+
+
+def test_slots_do_not_depend_on_the_stretch(spark):
+    rows = spark.range(2000).select(F.concat(F.lit("="), F.floor(F.sqrt("id")).cast("string")).alias("_name"))
+    sizes, windows = mixing.plan_of(rows, {"3": 7.0}, 3)
+    n = sizes.agg(F.sum("_blocks")).first()[0]
+    found = [sorted(map(tuple, mixing.slots_of(windows, n, k).collect())) for k in (n, 97)]
+    assert found[0] == found[1] and sorted(x[2] for x in found[0]) == list(range(n))
+    due = {(r._sid, r._block): (r._release, r._deadline) for r in windows.collect()}
+    assert all(due[s, b][0] <= t < due[s, b][1] for s, b, t in found[0])
+
+
 # WARC
 
 
