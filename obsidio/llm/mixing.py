@@ -24,8 +24,6 @@ from .common import materialise, scratch_path, unit_hash
 #: Slots of a period of ``phases_of`` at most, apart from one at least for each source.
 PERIOD = 1000
 BLOCK_ROWS = 64
-#: More sources are refused.
-MOST_SOURCES = 500
 #: Bits of the largest weight, and slots that a computed time may be off: windows are narrower by it, so none is too wide.
 WEIGHT_BITS, MARGIN = 52, 1 / 128
 #: Slots that the driver serves at once.
@@ -193,7 +191,7 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     ``weights`` gives each source a positive weight; sources that it doesn't name weigh 1. Without it a source weighs the
     square root of its size. A null source is a source of its own, served after equals. A source's last block may be
     shorter. Rows that repeat a key take neighbouring places; extra columns are ignored, and an empty table gives an empty
-    result. More than MOST_SOURCES sources are refused.
+    result. There may be any number of sources.
 
     Returns the key, source, block, slot and position (slot * block_rows + place in the block; unique but for gaps); with
     ``whole`` also ``row``, all columns of the row that has this place.
@@ -201,11 +199,10 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     if any(not 0 < w < float("inf") for w in (weights or {}).values()):
         raise ValueError("weights must be positive")
     name = F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    row = [F.struct(*docs.columns).alias("_row")] if whole else []
-    rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), name.alias("_name"), unit_hash(F.coalesce(F.col(key).cast("string"), F.lit("")), SEED).alias("_u"), *row)
+    row = [F.struct(*docs.columns)] if whole else []
+    by = F.coalesce(F.col(key).cast("string"), *(F.xxhash64(x).cast("string") for x in row), F.lit(""))
+    rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), name.alias("_name"), unit_hash(by, SEED).alias("_u"), *(x.alias("_row") for x in row))
     sizes, windows = plan_of(rows.select("_name"), weights, block_rows)
-    if sizes.limit(MOST_SOURCES + 1).count() > MOST_SOURCES:
-        raise ValueError(f"more than {MOST_SOURCES} sources")
     slots = slots_of(windows, sizes.agg(F.sum("_blocks")).first()[0] or 0)
     # number the rows of a source: stretches of its hash order are numbered apart, then shifted by the rows before them;
     # a source that isn't among the largest has a small part of the rows, and is one stretch

@@ -304,6 +304,15 @@ def test_slots_do_not_depend_on_the_stretch(spark):
     assert all(due[s, b][0] <= t < due[s, b][1] for s, b, t in found[0])
 
 
+def test_mix_takes_any_number_of_sources(spark):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 4 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id") % 997)).alias("source"))
+    rows = mixing.mix(docs, block_rows=2).toPandas()
+    assert sorted(rows.doc_id) == list(range(4000)) and rows.position.is_unique and rows.source.nunique() == 998
+    slots = rows.groupby("slot").source.first()
+    assert (rows.groupby("slot").source.nunique() == 1).all() and slots.index.tolist() == list(range(len(slots)))
+    assert deviations(slots.tolist(), rows.source.value_counts().pow(0.5).to_dict()) < 1
+
+
 # WARC
 
 
