@@ -12,17 +12,10 @@ from obsidio.llm import bpe, exact_dedup, langid, mixing, neardup
 from obsidio.llm.common import materialise, table
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``ids``; a null id is an id like any other."""
-    ids = ids.select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(ids, docs["doc_id"].eqNullSafe(F.col("_id")), "left_semi")
-
-
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a known language stay, whatever the language. Those with no letter, which have none, go."""
-    found = langid.identify(docs, langid.fit(docs))
-    rejected = found.filter(F.col("lang_pred") == langid.UNKNOWN).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, docs["doc_id"].eqNullSafe(F.col("_id")), "left_anti")
+    """Documents with a letter stay, whatever the language. Every row is decided by its own text, whatever its id."""
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    return langid.identify(rows, langid.fit(docs), keep="row").filter("lettered").select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,9 +24,14 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document of the smallest id stays; a document without an id stays, too."""
-    found = neardup.near_duplicates(docs)
-    return _only(docs, found.filter(F.col("doc_id").isNull() | (F.col("doc_id") == F.col("component_id"))))
+    """Of each group of near duplicates one row stays, that of the smallest id; one without an id only if none has one."""
+    # ids may be null or repeat, so rows have numbers of their own here
+    rows = materialise(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc")), "near-rows")
+    found = neardup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text")))
+    ids = rows.select("_row", F.col("_doc.doc_id").alias("_id"))
+    members = found.select(F.col("doc_id").alias("_row"), "component_id").join(ids, "_row")
+    kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_row"))["_row"].alias("_row"))
+    return rows.join(kept, "_row", "left_semi").select("_doc.*")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

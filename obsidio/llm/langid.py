@@ -16,6 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from .common import bounded_sample, held_out, slices
 
@@ -143,7 +144,7 @@ def fit(docs: DataFrame, most: int = MOST_LABELLED) -> Profiles:
     return Profiles(langs, protos.astype(np.float32), shared.astype(np.float32))
 
 
-def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
+def identify(docs: DataFrame, profiles: Profiles, keep: str | None = None) -> DataFrame:
     """Predict the language of every whole text from the text alone.
 
     ``docs`` has doc_id and text; other columns are ignored, whatever their names. A text that is null, empty or without a
@@ -151,14 +152,19 @@ def identify(docs: DataFrame, profiles: Profiles) -> DataFrame:
     repeated rows and null ids give a row each, and an empty table an empty result. Nothing is shuffled; what goes to the
     executors is one vector for each language.
 
-    Returns doc_id, lang_pred, score.
+    Returns doc_id, lang_pred, score. With ``keep``, a column that goes along with its row, also lettered, whether the
+    text has a letter.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in slices(batches, "text"):
-            found = [profiles.classify(bundle(x)) for x in piece.column(1).to_pylist()]
-            langs, scores = zip(*found, strict=True)
-            yield pa.RecordBatch.from_arrays([piece.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], ["doc_id", "lang_pred", "score"])
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, lang_pred string, score double")
+            vectors = [bundle(x) for x in piece.column(1).to_pylist()]
+            langs, scores = zip(*map(profiles.classify, vectors), strict=True)
+            columns = [piece.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            more = [pa.array([v is not None for v in vectors], pa.bool_()), piece.column(2)] if keep else []
+            yield pa.RecordBatch.from_arrays([*columns, *more], schema.names)
+
+    schema = StructType().add("doc_id", "long").add("lang_pred", "string").add("score", "double")
+    schema = StructType([*schema, *StructType().add("lettered", "boolean"), docs.schema[keep]]) if keep else schema
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([keep] if keep else []))
+    return rows.mapInArrow(run, schema)

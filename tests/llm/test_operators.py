@@ -447,3 +447,19 @@ def test_stages_take_odd_rows(spark, odd, sf):
         docs = common.materialise(stage(spark, docs, sf), "test-stage")
         assert docs.columns == odd.columns
     assert docs.count() >= 3
+
+
+def test_stages_decide_by_row(spark, sf):
+    import corpus_pipeline
+
+    words = [f"word{i}" for i in range(40)]
+    a, b, c = " ".join(words), " ".join([*words[:-1], "other"]), " ".join(words[::-1])
+    rows = [(None, "12 !!", 0), (None, "plain words", 1), (None, None, 2), (7, "--", 3), (7, "more words", 4), (8, a, 5), (None, b, 6), (9, b, 7), (9, c, 8), (None, "x1 x2 x3", 9), (None, "x1 x2 x3", 10), (None, "", 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, at int").withColumn("score", F.lit(1))
+    for lang in (F.lit(None).cast("string"), F.lit("en")):
+        left = corpus_pipeline.language(spark, docs.withColumn("lang", lang), sf)
+        assert sorted(r["at"] for r in left.collect()) == [1, 4, 5, 6, 7, 8, 9, 10]
+    kept = corpus_pipeline.near(spark, docs, sf)
+    assert kept.columns == docs.columns
+    kept = {r["at"] for r in kept.collect()}
+    assert kept - {9, 10} == {0, 1, 2, 3, 4, 5, 8, 11} and len(kept & {9, 10}) == 1
