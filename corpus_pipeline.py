@@ -36,15 +36,19 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mixture: read from the first file to the last, sources come by their weights."""
-    places = mixing.mix(docs).select(F.col("doc_id").alias("_id"), "position").groupBy("_id").agg(F.min("position").alias("_position"))
-    placed = docs.join(places, docs["doc_id"].eqNullSafe(F.col("_id")))
-    return placed.repartitionByRange("_position").sortWithinPartitions("_position").select(*docs.columns)
+    placed = mixing.mix(docs, whole=True).select("position", "row")
+    return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, and digests of these and of the decoded text."""
-    return bpe.encode_texts(docs).select(
-        "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    """Token ids of every document, digests of these and of the decoded text, and the document's place in the mixture.
+
+    Readers pack files as they like, so the order of rows tells nothing; the places are worked out again from the rows.
+    """
+    placed = mixing.mix(docs, whole=True)
+    rows = placed.select("doc_id", F.col("row.text").alias("text"), F.struct("source", "block", "slot", "position").alias("place"))
+    return bpe.encode_texts(rows, keep="place").select(
+        "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "place.*"
     )
 
 

@@ -22,6 +22,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from .common import slices
 
@@ -225,7 +226,7 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
+def encode_texts(docs: DataFrame, path: str | None = None, keep: str | None = None) -> DataFrame:
     """Encode and decode every text. ``docs`` has doc_id and text; other columns are ignored, whatever their names.
 
     Null and empty texts, and those of white space, have no tokens, an empty ``ids`` and an empty ``decoded``. Rows are
@@ -233,7 +234,7 @@ def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
     length are read whole. No rows are shuffled; a lost task is run again.
 
     Returns doc_id, n_tokens, ids (decimal ids joined by one space), decoded. ``path`` is the tokenizer file, which must
-    be found on every executor; None finds the installed one there.
+    be found on every executor; None finds the installed one there. ``keep`` names a column that goes along with its row.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,12 +243,14 @@ def encode_texts(docs: DataFrame, path: str | None = None) -> DataFrame:
             out = [t.encode(x) for x in piece.column(1).to_pylist()]
             ids, n, decoded = zip(*out, strict=True)
             yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
-                ["doc_id", "n_tokens", "ids", "decoded"],
+                [piece.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string()), *piece.columns[2:]],
+                ["doc_id", "n_tokens", "ids", "decoded", *kept],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids string, decoded string")
+    kept = [keep] if keep else []
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *kept)
+    schema = StructType().add("doc_id", "long").add("n_tokens", "long").add("ids", "string").add("decoded", "string")
+    return rows.mapInArrow(run, StructType([*schema, *(docs.schema[c] for c in kept)]))
 
 
 def decode_ids(encoded: DataFrame, path: str | None = None) -> DataFrame:

@@ -463,3 +463,22 @@ def test_stages_decide_by_row(spark, sf):
     assert kept.columns == docs.columns
     kept = {r["at"] for r in kept.collect()}
     assert kept - {9, 10} == {0, 1, 2, 3, 4, 5, 8, 11} and len(kept & {9, 10}) == 1
+
+
+def test_places_of_the_mixture_reach_the_result(spark, sf):
+    import corpus_pipeline
+
+    source = F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") < 200, None).otherwise(F.concat(F.lit("s"), F.col("id") % 5))
+    docs = spark.range(6000).select(F.when(F.col("id") % 7 > 0, F.col("id")).alias("doc_id"), F.concat(F.lit("t "), F.col("id")).alias("text"), source.alias("source"))
+    docs = common.materialise(docs, "test-docs")
+    mixed = common.materialise(corpus_pipeline.mixed(spark, docs, sf), "test-mixed")
+    rows = corpus_pipeline.encoded(spark, mixed, sf).toPandas().sort_values("position")
+    assert len(rows) == 6000 and rows.position.is_unique
+    stored = mixed.select("text", "_metadata.file_name", "_metadata.row_index").toPandas().sort_values(["file_name", "row_index"])
+    numbered = mixed.select(F.substring("text", 3, 9).cast("long").alias("doc_id"), "text")
+    ids = {f"t {r.doc_id}": hashlib.sha256(r.ids.encode()).hexdigest() for r in bpe.encode_texts(numbered).collect()}
+    assert [ids[t] for t in stored.text] == rows.ids_sha256.tolist()
+    slots = rows.fillna({"source": "null"}).groupby("slot").source.agg(["first", "nunique"])
+    assert (slots["nunique"] == 1).all() and slots.index.tolist() == list(range(len(slots)))
+    sizes = rows.source.fillna("null").value_counts()
+    assert deviations(slots["first"].tolist(), sizes.pow(0.5).to_dict()) < 1
