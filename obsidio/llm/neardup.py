@@ -35,6 +35,8 @@ BITS = 2048
 SAMPLE, FREQUENT, IN_TEXTS = 30_000, 200_000, 3
 #: Minima of so many hashes bring most near copies to a common first node; they save looks, and no result depends on them.
 SKETCH = 4
+#: Rows of one token that a task holds before it hands them on.
+LONGEST_RUN = 1 << 20
 #: Members of a leaf, and children of a tree node.
 FANOUT = 8
 #: Members of a block.
@@ -207,10 +209,10 @@ def token_groups(sets: DataFrame, column: str = "prefix") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carried_t, carried_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        fresh, head, first_of = True, None, None
+        fresh, going_on = True, None
 
         def rows(tokens: np.ndarray, nodes: np.ndarray, last: bool):
-            nonlocal fresh, head, first_of
+            nonlocal fresh
             new = np.ones(len(tokens), bool)
             new[1:] = (tokens[1:] != tokens[:-1]) | (nodes[1:] != nodes[:-1])
             tokens, nodes = tokens[new], nodes[new]
@@ -219,6 +221,8 @@ def token_groups(sets: DataFrame, column: str = "prefix") -> DataFrame:
             keep = size > 1
             if fresh:
                 keep[0], fresh = True, False
+            if tokens[0] == going_on:  # the rest of a run whose other nodes were handed on
+                keep[0] = True
             if last:
                 keep[-1] = True
             firsts = nodes[at].copy()
@@ -231,11 +235,14 @@ def token_groups(sets: DataFrame, column: str = "prefix") -> DataFrame:
             if not len(tokens):
                 continue
             cut = int(np.searchsorted(tokens, tokens[-1]))  # the last run may go on
-            if not cut and len(tokens) > 1 << 20:  # a run of its own: hand it on in parts, all with one first node
+            whole = not cut and len(tokens) > LONGEST_RUN  # a run of its own: hand it on in parts
+            if whole:
                 cut = len(tokens)
             carried_t, carried_n = tokens[cut:], nodes[cut:]
             if cut:
-                yield rows(tokens[:cut], nodes[:cut], False)
+                out = rows(tokens[:cut], nodes[:cut], whole)
+                going_on = tokens[0] if whole else None
+                yield out
         if len(carried_t):
             yield rows(carried_t, carried_n, True)
 

@@ -109,6 +109,17 @@ def test_near_duplicates_odd_rows(odd, empty):
     assert neardup.near_duplicates(empty).count() == 0
 
 
+def test_rest_of_a_long_run_stays_in_its_group(spark, monkeypatch):
+    monkeypatch.setattr(neardup, "LONGEST_RUN", 20)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "21")
+    try:
+        sets = spark.createDataFrame([(0, i, [1, 2] if i in (5, 9) else [1]) for i in range(22)] + [(0, 30, [2])], "part int, node long, prefix array<long>")
+        found = {(r.token, r.node) for r in neardup.token_groups(sets.coalesce(1)).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert {(1, i) for i in range(22)} <= found and {(2, 5), (2, 9), (2, 30)} <= found
+
+
 def test_tree_join_drops_no_link():
     rnd = np.random.default_rng(1)
     universe = rnd.integers(0, 2**63, 4000, dtype=np.uint64) * np.uint64(2)
