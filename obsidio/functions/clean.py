@@ -1,7 +1,7 @@
 """Cleaning expressions: functions from Column to Column, null where there is nothing to tell.
 
 All run in the JVM. Composition of decomposed letters is the one thing that Spark has no function for; ``nfc`` does it in
-a pandas UDF, and only texts with combining marks get there.
+a pandas UDF, to which only texts with combining marks are sent; for others it gets a null.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ TRACKING = "utm_[a-z_]+|fbclid|gclid|dclid|msclkid|mc_[a-z_]+|igshid|_ga|ref_src
 CANONICAL_DROPS = "utm_|fbclid|gclid|ref="
 SECOND_LEVEL = "co|com|org|net|ac|gov"
 COUNTRY = "+49"
+COUNT_UNITS = {"k": 1000, "tsd": 1000, "tsd.": 1000, "tausend": 1000, "m": 10**6, "mio": 10**6, "mio.": 10**6, "million": 10**6, "millionen": 10**6}
 
 #: Letters with accents and what is left without them, for Latin-1 and Latin Extended-A; built from their decomposition.
 _ACCENTED = [chr(c) for c in range(0xC0, 0x180) if len(unicodedata.normalize("NFD", chr(c))) > 1]
@@ -47,12 +48,12 @@ def _compose(x: pd.Series) -> pd.Series:
 
 def nfc(x: Column) -> Column:
     """Canonical composition. Texts without combining marks don't leave the JVM."""
-    return F.when(x.rlike("\\p{M}"), F.pandas_udf(_compose, "string")(x)).otherwise(x)
+    return F.coalesce(F.pandas_udf(_compose, "string")(F.when(x.rlike("\\p{M}"), x)), x)
 
 
-def clean_text(x: Column, compose: bool = False) -> Column:
-    """Zero-width characters out, entities unescaped once, white space collapsed and trimmed; empty becomes null."""
-    out = F.regexp_replace(nfc(x) if compose else x, ZERO_WIDTH, "")
+def clean_text(x: Column) -> Column:
+    """Letters composed, zero-width characters out, entities unescaped once, white space collapsed and trimmed; empty becomes null."""
+    out = F.regexp_replace(nfc(x), ZERO_WIDTH, "")
     for entity, char in ENTITIES:
         out = F.replace(out, F.lit(entity), F.lit(char))
     return blank_to_null(F.btrim(F.regexp_replace(out, "\\s+", " ")))
@@ -73,16 +74,28 @@ def name_key(x: Column) -> Column:
     return blank_to_null(F.btrim(F.regexp_replace(short, "\\s+", " ")))
 
 
+def _groups(digits: Column, marks: str) -> tuple[Column, Column]:
+    """What stands between thousands marks, and whether these make groups of three."""
+    groups = F.split(digits, marks)
+    rest = F.slice(groups, 2, F.greatest(F.size(groups) - 1, F.lit(0)))
+    return groups, (F.size(groups) > 1) & F.length(groups[0]).between(1, 3) & F.forall(rest, lambda g: F.length(g) == 3)
+
+
 def parse_money(x: Column) -> Column:
-    """German and English amounts as decimal(10,2); null for anything else."""
+    """German and English amounts as decimal(10,2); null for anything else.
+
+    One comma after at most thousands groups is a decimal comma, and points between such groups go; else commas group
+    thousands and a point is the decimal point.
+    """
     kept = F.regexp_replace(x, "[^0-9,.\\-]", "")
-    points = F.regexp_replace(x, "[^0-9.\\-]", "")
-    return (
-        F.when(kept.rlike("^-?\\d{1,3}(\\.\\d{3})+(,\\d+)?$"), F.replace(F.replace(kept, F.lit("."), F.lit("")), F.lit(","), F.lit(".")))
-        .when(kept.rlike("^-?\\d+,\\d+$"), F.replace(kept, F.lit(","), F.lit(".")))
-        .when(points.rlike("^-?\\d+(\\.\\d+)?$"), points)
-        .try_cast("decimal(10,2)")
-    )
+    halves = F.split(kept, ",")
+    whole, part = F.regexp_replace(halves[0], "^-", ""), F.get(halves, F.lit(1))
+    groups, thousands = _groups(whole, "\\.")
+    sign = F.when(kept.startswith("-"), "-").otherwise("")
+    german = F.when((F.size(halves) == 2) & (thousands | (F.size(groups) == 1)), F.concat(sign, F.array_join(groups, ""), F.lit("."), part))
+    german = german.when((F.size(halves) == 1) & thousands, F.concat(sign, F.array_join(groups, "")))
+    valid = lambda c: F.when(c.rlike("^-?[0-9]+([.][0-9]+)?$"), c)
+    return F.coalesce(valid(german), valid(F.replace(kept, F.lit(","), F.lit("")))).try_cast("decimal(10,2)")
 
 
 def cents(x: Column) -> Column:
@@ -91,14 +104,14 @@ def cents(x: Column) -> Column:
 
 def parse_count(x: Column) -> Column:
     """Counts such as 1.2K, 3 Mio. or 1.234 as a long; null for anything else."""
+    form = "^\\s*([0-9.,]+)\\s*([a-z]*\\.?)\\s*$"
     low = F.lower(x)
-    number = F.replace(F.regexp_replace(F.regexp_replace(low, "[^0-9.,]", ""), "[.,]+$", ""), F.lit(","), F.lit(".")).try_cast("decimal(20,6)")
-    return (
-        F.when(low.rlike("^\\s*[\\d.,]+\\s*(k|tsd\\.?|tausend)\\s*$"), F.round(number * 1000).cast("long"))
-        .when(low.rlike("^\\s*[\\d.,]+\\s*(m|mio\\.?|million(en)?)\\s*$"), F.round(number * 1_000_000).cast("long"))
-        .when(x.rlike("^\\s*\\d{1,3}([.,]\\d{3})+\\s*$"), F.regexp_replace(x, "[^0-9]", "").try_cast("long"))
-        .when(x.rlike("^\\s*\\d+\\s*$"), F.btrim(x).try_cast("long"))
-    )
+    amount, unit = F.regexp_extract(low, form, 1), F.regexp_extract(low, form, 2)
+    factor = F.element_at(F.create_map(*[F.lit(v) for pair in COUNT_UNITS.items() for v in pair]), unit)
+    number = F.replace(F.regexp_replace(amount, "[.,]+$", ""), F.lit(","), F.lit(".")).try_cast("decimal(20,6)")
+    groups, thousands = _groups(amount, "[.,]")
+    plain = F.when((unit == "") & (thousands | (F.size(groups) == 1)), F.array_join(groups, ""))
+    return F.when(factor.isNotNull(), F.round(number * factor).cast("long")).otherwise(plain.try_cast("long"))
 
 
 def rating_norm(x: Column, lo: float, hi: float) -> Column:
@@ -155,12 +168,10 @@ def site_of(url: Column) -> Column:
 
 def phone_e164(x: Column) -> Column:
     """A phone number with its country; null where there is no telling."""
-    plus, digits = F.regexp_replace(x, "[^0-9+]", ""), F.regexp_replace(x, "[^0-9]", "")
-    return (
-        F.when(plus.startswith("+"), plus)
-        .when(digits.startswith("00"), F.concat(F.lit("+"), F.substring(digits, 3, 100)))
-        .when(digits.startswith("0"), F.concat(F.lit(COUNTRY), F.substring(digits, 2, 100)))
-    )
+    marked = F.regexp_replace(x, "[^0-9+]", "")
+    number = F.when(marked.startswith("+"), marked).otherwise(F.replace(marked, F.lit("+"), F.lit("")))
+    number = F.regexp_replace(F.regexp_replace(number, "^00", "+"), "^0", COUNTRY)
+    return F.when(number.startswith("+"), number)
 
 
 def postcode(x: Column) -> Column:

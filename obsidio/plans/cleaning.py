@@ -8,15 +8,20 @@ from ..functions import clean
 from ..session import load
 from .registry import query
 
-_MESSY = "concat('  ', replace(text, ' ', '  '), '&amp; &lt;b&gt;', chr(8203), ' ')"
-_MESSY_D = "concat('  ', replace(text, ' ', '  '), '&amp; &lt;b&gt;', chr(8203), ' ')"
-_CLEAN_D = f"nullif(trim(regexp_replace(replace(replace(replace(replace(replace(replace(regexp_replace({_MESSY_D}, '[​-‍⁠﻿]', '', 'g'), '&amp;', '&'), '&quot;', '\"'), '&#39;', ''''), '&lt;', '<'), '&gt;', '>'), '&nbsp;', ' '), '\\s+', ' ', 'g')), '')"
+_MESSY = "concat('  ', replace(text, ' ', '  '), '&amp; &lt;b&gt;', chr(8203), ' Cafe', chr(769), ' DO', chr(776), 'NER ')"
+_CLEAN_D = f"regexp_replace(nfc_normalize({_MESSY}), '{clean.ZERO_WIDTH}', '', 'g')"
+for _entity, _char in clean.ENTITIES:
+    _CLEAN_D = f"replace({_CLEAN_D}, '{_entity}', '{_char.replace(chr(39), chr(39) * 2)}')"
+_CLEAN_D = f"nullif(trim(regexp_replace({_CLEAN_D}, '\\s+', ' ', 'g')), '')"
 _FOLD_D = f"strip_accents(replace(replace(replace(replace(lower({_CLEAN_D}), 'ä', 'ae'), 'ö', 'oe'), 'ü', 'ue'), 'ß', 'ss'))"
 
 
 def _messy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every whole text, made messier: doubled spaces, entities and a zero-width space."""
-    return load(spark, sf_dir, "documents").select("doc_id", F.expr(_MESSY.replace("chr(8203)", "'​'")).alias("raw"))
+    """Every whole text, made messier: doubled spaces, entities, a zero-width space and decomposed letters."""
+    spelt = _MESSY
+    for code in (8203, 769, 776):  # chr() of Spark stops at 255
+        spelt = spelt.replace(f"chr({code})", f"'{chr(code)}'")
+    return load(spark, sf_dir, "documents").select("doc_id", F.expr(spelt).alias("raw"))
 
 
 @query(f"SELECT doc_id, md5({_CLEAN_D}) AS digest, length({_CLEAN_D}) AS n FROM documents")

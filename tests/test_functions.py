@@ -51,7 +51,7 @@ def test_money(spark, value, expected):
 
 
 def test_nfc_joins_combining_marks(spark):
-    assert one(spark, lambda x: clean.clean_text(x, compose=True), "é") == "é"
+    assert one(spark, lambda x: clean.clean_text(x), "é") == "é"
 
 
 def test_similarity():
@@ -159,3 +159,31 @@ def test_upsert_prefers_newer_rows(spark):
     a = spark.createDataFrame([(1, 1, "old"), (2, 5, "kept")], "k int, t int, v string")
     b = spark.createDataFrame([(1, 1, "new"), (2, 4, "late"), (3, 1, "added")], "k int, t int, v string")
     assert {r.k: r.v for r in files.upsert(a, b, ["k"], "t").collect()} == {1: "new", 2: "kept", 3: "added"}
+
+
+def test_shapes_have_no_depth_and_no_item_limit():
+    assert raw.shape('{"a": {"b": [{"c": 1}, {"d": [[{"e": null}]]}]}, "f": 2}') == ["a", "a.b", "a.b[].c", "a.b[].d", "a.b[].d[][].e", "f"]
+    deep = "".join(f'{{"k{i}":' for i in range(30)) + "1" + "}" * 30
+    assert raw.shape(deep)[-1] == ".".join(f"k{i}" for i in range(30))
+    many = json.dumps([{"a": 1}] * 500 + [{"z": {}}])
+    assert raw.shape(many) == ["[].a", "[].z"]
+    assert [raw.shape(x) for x in (None, "", "{", "3", "[]", "{}")] == [[]] * 6
+    assert raw.shape("[" * 100_000) == []
+
+
+@pytest.mark.parametrize(
+    ("value", "expected"),
+    [("1.234", 1234), ("12.345,6", 12345.6), ("1,234", 1.23), ("1,234.5", 1234.5), ("1,234,567", 1234567), ("-1.234,50 €", -1234.5), ("1.234,", 1.23), (",5", 5), ("12.34.5", None), ("1-2", None), ("", None)],
+)
+def test_money_forms(spark, value, expected):
+    found = one(spark, clean.parse_money, value)
+    assert (None if found is None else float(found)) == expected
+
+
+@pytest.mark.parametrize(("value", "expected"), [("3 Mio.", 3_000_000), ("1.2K", 1200), ("2k.", None), ("1 million", 1_000_000), ("12.34", None), (" 7 ", 7), ("1.234.567", 1234567), ("1.234,5 k", None), ("", None), (None, None)])
+def test_count_forms(spark, value, expected):
+    assert one(spark, clean.parse_count, value) == expected
+
+
+def test_decomposed_letters(spark):
+    assert one(spark, clean.fold, "Döner") == "doener" and one(spark, clean.name_key, "Café Döner") == "doener"
