@@ -7,9 +7,10 @@ states are numbered by labels, and a state is known by its gadget: what it was c
 Kept so, 48,894 gadgets take 49,406 rows, where the full transition table would take 2.4 billion. Whether a state has an
 arc is resolved through the gadgets once and then stands in a table.
 
-The automaton reads a word in one way only: every prefix ends in one last label. Encoding goes from left to right, takes
-at each position the one label that fits between the states there, and follows the labels back. Decoding emits the labels
-of the arcs.
+The automaton reads a word in one way only, so every prefix of a word has one last label: the state that the automaton is
+in there. Encoding goes from left to right and looks the next state up: of the labels that end at a position, the one whose
+arc leaves the state at its start, by the table of arcs. No position is visited twice. There are as many states as labels,
+and at most MOST_ARCS arcs in the table; those beyond are resolved again. Decoding emits the labels of the arcs.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from pyspark.sql.types import StructType
 
 from .common import slices
 
+#: Resolved arcs that a worker holds; the table is emptied when it is full.
+MOST_ARCS = 2_000_000
 #: Words whose arcs a worker remembers; twice as many at most are held.
 REMEMBERED = 300_000
 
@@ -51,10 +54,15 @@ class Automaton:
             a, b, c = vocab[u], vocab[v], vocab[u + v]
             self.born[c], self.left[c], self.right[c] = when, a, b
             self.lost[a * size + b] = when
-        self.reach: dict[str, int] = {}  # by its first two symbols, the symbols of the longest label
+        self.inner: dict[str, int] = {}  # by their last two symbols, the symbols of the longest label
+        self.final: dict[str, int] = {}  # of those that end a word
         for label in vocab:
-            spelt = label[: len(label) - len(suffix)] if suffix and label.endswith(suffix) else label
-            self.reach[spelt[:2]] = max(self.reach.get(spelt[:2], 1), len(spelt))
+            ends = bool(suffix) and label.endswith(suffix)
+            spelt = label[: len(label) - len(suffix)] if ends else label
+            reach = self.final if ends else self.inner
+            reach[spelt[-2:]] = max(reach.get(spelt[-2:], 1), len(spelt))
+        if not suffix:
+            self.final = self.inner
         self.arcs: dict[int, bool] = {}
 
     def has_arc(self, x: int, y: int) -> bool:
@@ -76,40 +84,33 @@ class Automaton:
                 y = left[y]
 
     def read(self, word: str) -> list[int]:
-        """The ids on the one path that spells ``word``, which is not empty.
-
-        The longest arc is tried first. A prefix that the word can't go on from is marked, and never entered again:
-        only one path spells a prefix, so each position is left at most once.
-        """
-        vocab, arcs, size, reach = self.vocab, self.arcs, self.size, self.reach
-        n, j, x, dead = len(word), 0, -1, set()
-        ends, out = [], []
-        whole = word + self.suffix
-        while j < n:
-            for k in range(min(n, j + reach.get(word[j : j + 2], 1)), j, -1):
-                y = vocab.get(word[j:k] if k < n else whole[j:])
-                if y is None or k in dead:
+        """The ids on the one path that spells ``word``, which is not empty."""
+        vocab, arcs, size, n = self.vocab, self.arcs, self.size, len(word)
+        state, start = [-1] * (n + 1), [0] * (n + 1)  # the last label of each prefix, and where it starts; -1: none
+        for k in range(1, n + 1):
+            reach, end = (self.inner, "") if k < n else (self.final, self.suffix)
+            for j in range(max(0, k - reach.get(word[max(0, k - 2) : k], 1)), k):
+                y, x = vocab.get(word[j:k] + end), state[j]
+                if y is None or j and x < 0:
                     continue
-                if x >= 0:
+                if j:
                     key = x * size + y
                     fits = arcs.get(key)
                     if fits is None:
-                        if len(arcs) > 2_000_000:
+                        if len(arcs) >= MOST_ARCS:
                             arcs.clear()
                         fits = arcs[key] = self.has_arc(x, y)
                     if not fits:
                         continue
-                out.append(y)
-                ends.append(j)
-                j, x = k, y
+                state[k], start[k] = y, j
                 break
-            else:
-                dead.add(j)
-                if not out:
-                    raise ValueError(f"no path spells {word!r}")
-                out.pop()
-                j, x = ends.pop(), out[-1] if out else -1
-        return out
+        if state[n] < 0:
+            raise ValueError(f"no path spells {word!r}")
+        out, k = [], n
+        while k:
+            out.append(state[k])
+            k = start[k]
+        return out[::-1]
 
     def emit(self, ids: list[int]) -> list[str]:
         """The labels of a path."""
@@ -172,7 +173,9 @@ class WordTokenizer:
         if text.isascii():
             return self.plain_words(text.lower())
         if not self.unknown(text):
-            return self.words(unicodedata.normalize("NFC", text).lower())
+            lowered = unicodedata.normalize("NFC", text).lower()
+            if not self.unknown(lowered):  # lower case may lie outside the blocks
+                return self.words(lowered)
         lowered = self.library.normalizer.normalize_str(text)
         raw = {s: b for b, s in self.symbols.items()}
         return [bytes(raw[c] for c in w).decode("utf-8") for w, _ in self.library.pre_tokenizer.pre_tokenize_str(lowered)]
@@ -209,9 +212,9 @@ class WordTokenizer:
         return " ".join(ids), total, " ".join(labels)
 
     def decode(self, ids: list[int]) -> str:
-        """The labels of any ids, joined by a space: the file names no decoder."""
+        """The labels of any ids, joined by a space: the file names no decoder. Ids that the file doesn't have are left out."""
         names = self.automaton.labels
-        return " ".join(self.added_labels.get(i) or names[i] for i in ids)
+        return " ".join(self.added_labels.get(i) or names[i] for i in ids if i in self.added_labels or 0 <= i < len(names))
 
 
 @functools.lru_cache(maxsize=2)

@@ -187,6 +187,20 @@ def test_bpe_matches_the_library(spark, odd, empty):
     assert bpe.encode_texts(empty).count() == 0
 
 
+def test_bpe_matches_the_library_on_every_character():
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(bpe.default_path()), bpe.tokenizer(bpe.default_path())
+    library.no_truncation(), library.no_padding()
+    rnd = random.Random(6)
+    chars = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x10000), *range(0x10400, 0x10450), *range(0x1F600, 0x1F650)]]
+    texts = [f"a{c}b" for c in chars] + [f"{c}{d} {c}" for c, d in zip(chars, rnd.sample(chars, len(chars)), strict=True)]
+    texts += ["".join(rnd.choice(chars[:0x250]) for _ in range(rnd.randint(1, 12))) for _ in range(40_000)]
+    for text, want in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert own.encode(text)[0] == " ".join(map(str, want.ids)), ascii(text)
+    assert own.decode([10**9, 320, -1]) == own.decode([320])
+
+
 def test_automaton_on_merges_of_its_own():
     merges = [("a", "a"), ("aa", "a"), ("a", "b"), ("aa", "aa"), ("b", "ab"), ("aaa", "b")]
     vocab = {s: i for i, s in enumerate(["a", "b", *("".join(m) for m in merges)])}
