@@ -60,6 +60,39 @@ def test_exact_dedup_tells_equal_digests_apart(spark):
     assert sorted(map(tuple, weak.collect())) == want
 
 
+def test_batches_and_filters_change_nothing(spark, monkeypatch):
+    rnd = random.Random(8)
+    docs = spark.createDataFrame([(rnd.choice([i, i, i - 1, None]), rnd.choice(["A", "a", "", None, f"t{i % 90}", f"u{i}", f"U{i}"])) for i in range(500)], "doc_id long, text string")
+    want = sorted(map(tuple, exact_dedup.exact_dedup(docs).collect()), key=str)
+    groups = collections.defaultdict(list)
+    for i, t in docs.collect():
+        groups[re.sub("[A-Z]+", lambda m: m[0].lower(), t or "")].append(i)
+    plain = []
+    for t, ids in groups.items():
+        top = max((i for i in ids if i is not None), default=None)
+        plain += [(i, top, len(ids), i == top, hashlib.sha256(t.encode()).hexdigest()) for i in ids]
+    assert want == sorted(plain, key=str)
+    assert sorted(map(tuple, exact_dedup.exact_dedup(docs, batches=3).collect()), key=str) == want
+    log = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("digest"))
+    index = exact_dedup.MergeIndex(spark).append(log.filter("digest < 'b'"), 2).append(log.filter("digest >= 'b' or digest = 'a'"), 3)
+    alone, shared = index._split()
+    assert index.runs == 5 and alone.count() > 0 and alone.join(shared, "digest").count() == 0
+    found = sorted(map(tuple, index.compact().collect()))
+    monkeypatch.setattr(exact_dedup, "FILTER_BITS", 0)
+    assert sorted(map(tuple, index.compact().collect())) == found and index._split()[0] is None
+    monkeypatch.setattr(common, "FILTER_BITS", 0)
+    assert sorted(map(tuple, exact_dedup.exact_dedup(docs).collect()), key=str) == want
+
+
+def test_deduplicated_decides_ties(spark):
+    rows = [(5, "Ab", 1), (5, "ab", 2), (5, "ab", 3), (4, "AB", 4), (None, "ab", 5), (None, "x", 6), (None, "X", 7), (1, "only", 8)]
+    names = ["_sha", "_kept_id", "_kept_sha", "_id", "_row", "_doc", "row", "norm", "digest", "_slot", "_bucket", "position"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, at int").withColumns({n: F.lit("own") for n in names})
+    kept = exact_dedup.deduplicated(docs)
+    assert kept.columns == docs.columns and kept.filter(" or ".join(f"{n} <> 'own'" for n in names)).count() == 0
+    assert sorted(r["at"] for r in kept.collect()) == [3, 6, 8] and exact_dedup.deduplicated(docs.limit(0)).count() == 0
+
+
 # near duplicates
 
 
