@@ -12,10 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window, functions as F
 
-#: Queries that are sent to the executors at once; with 64 dimensions these are 1 MB.
-QUERY_BLOCK = 2048
+from .common import discard, materialise, scratch_path
+
+#: Queries that are sent to the executors at once; with 64 dimensions these are 4 MB.
+QUERY_BLOCK = 8192
 #: Vectors of a block in vertical layout, and dimensions of a group.
 BLOCK_ROWS = 8192
 GROUP = 16
@@ -89,8 +92,9 @@ def top_k(vectors: DataFrame, k: int = 10, scale: float = 1024.0, every: int = 1
     repeated query id is one query, that of its smallest vector. Scores beyond long end at its limits. Ties go to the
     smaller id. An empty table gives an empty result; other columns are ignored.
 
-    Queries go out in blocks of QUERY_BLOCK; each block is one pass over all vectors, in which every task keeps k
-    candidates a query, and these are ranked by query.
+    Queries are written once, in blocks of about QUERY_BLOCK. Block after block goes out; each is one pass over all vectors,
+    in which every task keeps k candidates a query, and these are ranked by query. With more than one block each block's
+    result is written before the next one goes out, so that the driver and the executors hold one block at a time.
 
     Returns query_id, rank (from 1), vec_id, score.
     """
@@ -98,19 +102,26 @@ def top_k(vectors: DataFrame, k: int = 10, scale: float = 1024.0, every: int = 1
     rows = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("v"))
     rows = rows.filter(F.col("vec_id").isNotNull() & _valid(F.col("v")))
     queries = rows.filter(F.col("vec_id") % every == 0).groupBy("vec_id").agg(F.min("v").alias("v"))
+    queries = materialise(queries, "top-queries")
     n = queries.count()
-    out = None
-    for part in range(max(1, -(-n // QUERY_BLOCK))):
-        parts = max(1, -(-n // QUERY_BLOCK))
-        chosen = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part).orderBy("vec_id").collect()
-        found = _search(rows, [(r[0], r[1]) for r in chosen], k, scale)
-        out = found if out is None else out.unionByName(found)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
-    # ids may repeat, so that rows of one score and id are told apart by their number
-    return out.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _search(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int, scale: float) -> DataFrame:
+    parts = max(1, -(-n // QUERY_BLOCK))
+    path = scratch_path(spark, "top-found")
+    for part in range(parts):
+        chosen = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(parts)) == part).orderBy("vec_id").collect()  # about QUERY_BLOCK
+        found, sent = _search(rows, [(r[0], r[1]) for r in chosen], k, scale)
+        order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
+        # ids may repeat, so that rows of one score and id are told apart by their number
+        found = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+        if parts == 1:
+            return found
+        found.write.mode("append").parquet(path)
+        sent.destroy()
+    discard(queries)
+    return spark.read.parquet(path)
+
+
+def _search(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int, scale: float) -> tuple[DataFrame, Broadcast]:
+    """The candidates of one block of queries, and what was sent out for them."""
     sizes = sorted({len(v) for _, v in queries})
     packed = {}
     for d in sizes:
@@ -158,4 +169,4 @@ def _search(rows: DataFrame, queries: list[tuple[int, list[float]]], k: int, sca
                     ["query_id", "vec_id", "score"],
                 )
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score long")
+    return rows.mapInArrow(run, "query_id long, vec_id long, score long"), sent

@@ -7,7 +7,9 @@ the file. Any Zstandard reader reads the whole file as a WARC file; a reader tha
 Spark writes the files, so that they land on any file system that it knows, under its commit protocol: a lost task leaves
 nothing behind. Its text writer ends each row with a separator. Rows are frames here, and the separator is made part of
 the format: it is the content of a three-byte skippable frame after each frame, and the last three bytes of the seek
-table's closing magic number, which happen to spell one character in UTF-8.
+table's closing magic number, which happen to spell one character in UTF-8. A task rolls over to the next bundle when one is
+full: every bundle but a task's last has BUNDLE_ROWS rows, and the writer begins a file after so many. One that is full by
+its bytes is filled up with skippable frames of eleven bytes.
 """
 
 from __future__ import annotations
@@ -31,7 +33,10 @@ SKIPPABLE_PAD, SKIPPABLE_INDEX, SKIPPABLE_SEEK = 0x184D2A50, 0x184D2A51, 0x184D2
 PAD = struct.pack("<II", SKIPPABLE_PAD, 3)
 #: Bytes of records that a frame holds, one larger record aside.
 FRAME_BYTES = 256 << 10
+#: Frames and tail of a full bundle, as rows, and bytes of frames that close a bundle before that.
+BUNDLE_ROWS, BUNDLE_BYTES = 512, 64 << 20
 LEVEL = 3
+ENTRY = "<?qIIQ"
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NAME = "urn:page:"
@@ -66,40 +71,75 @@ def parse_record(record: bytes) -> dict:
 
 
 class BundleWriter:
-    """Turns records into the rows of one bundle. Holds one frame and the index."""
+    """Turns records into the rows of bundles. Holds one frame and one bundle's index."""
 
-    def __init__(self):
-        self.sizes: list[tuple[int, int]] = []  # compressed and decompressed, of each frame, skippable ones too
-        self.index: list[tuple[int, int, int, int]] = []
-        self.open, self.filled = [], 0
+    def __init__(self, frame_bytes: int, bundle_rows: int, bundle_bytes: int):
+        self.frame_bytes, self.bundle_rows, self.bundle_bytes = frame_bytes, bundle_rows, bundle_bytes
         self.packer = zstandard.ZstdCompressor(level=LEVEL, write_content_size=True, write_checksum=True)
+        self.open, self.filled = [], 0
+        self._begin()
 
-    def add(self, record: bytes, page_id: int | None) -> bytes | None:
-        """Take a record; the row of a frame that is full now."""
-        self.index.append((0 if page_id is None else page_id, len(self.sizes), self.filled, len(record)))
+    def _begin(self) -> None:
+        self.sizes: list[tuple[int, int]] = []  # compressed and decompressed, of each frame, skippable ones too
+        self.index: list[tuple[bool, int, int, int, int]] = []
+        self.rows, self.bytes = 0, 0
+
+    def add(self, record: bytes, page_id: int | None) -> Iterator[bytes]:
+        """Take a record; the rows that are full now."""
+        self.index.append((page_id is not None, page_id or 0, len(self.sizes), self.filled, len(record)))
         self.open.append(record)
         self.filled += len(record)
-        return self.frame() if self.filled >= FRAME_BYTES else None
-
-    def frame(self) -> bytes:
+        if self.filled >= self.frame_bytes:
+            yield self._frame()
+            if self.rows == self.bundle_rows - 1 or self.bytes >= self.bundle_bytes:
+                while self.rows < self.bundle_rows - 1:
+                    self.sizes.append((len(PAD) + 3, 0))
+                    self.rows += 1
+                    yield PAD
+                yield self._tail()
+                self._begin()
+
+    def _frame(self) -> bytes:
         data = b"".join(self.open)
         packed = self.packer.compress(data)
         self.sizes += [(len(packed), len(data)), (len(PAD) + 3, 0)]
         self.open, self.filled = [], 0
+        self.rows, self.bytes = self.rows + 1, self.bytes + len(packed)
         return packed + PAD
 
     def end(self) -> Iterator[bytes]:
         if self.open:
-            yield self.frame()
-        if not self.sizes:
-            return
-        index = zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(struct.pack("<qIIQ", *x) for x in self.index))
+            yield self._frame()
+        if self.sizes:
+            yield self._tail()
+
+    def _tail(self) -> bytes:
+        index = zstandard.ZstdCompressor(level=LEVEL).compress(b"".join(struct.pack(ENTRY, *x) for x in self.index))
         index = struct.pack("<IIQ", SKIPPABLE_INDEX, len(index) + 8, len(self.index)) + index
-        self.sizes.append((len(index), 0))
-        entries = b"".join(struct.pack("<II", *x) for x in self.sizes)
-        footer = struct.pack("<IBI", len(self.sizes), 0, SEEK_MAGIC)
+        sizes = [*self.sizes, (len(index), 0)]
+        entries = b"".join(struct.pack("<II", *x) for x in sizes)
+        footer = struct.pack("<IBI", len(sizes), 0, SEEK_MAGIC)
         table = struct.pack("<II", SKIPPABLE_SEEK, len(entries) + len(footer)) + entries + footer
-        yield index + table[:-3]  # the separator is the rest
+        return index + table[:-3]  # the separator is the rest
+
+
+class RangedFile:
+    """A file of any file system that Spark knows, read by ranges on the driver."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.jvm = spark.sparkContext._jvm
+        place = self.jvm.org.apache.hadoop.fs.Path(path)
+        files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.size, self.stream, self.read = files.getFileStatus(place).getLen(), files.open(place), 0
+
+    def __len__(self) -> int:
+        return self.size
+
+    def __getitem__(self, at: slice) -> bytes:
+        first, end, _ = at.indices(self.size)
+        self.stream.seek(first)
+        self.read += max(0, end - first)
+        return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(self.stream, max(0, end - first)))
 
 
 class Bundle:
@@ -119,16 +159,18 @@ class Bundle:
             at += packed
         start, packed, _ = self.frames[-1]
         head = struct.unpack("<IIQ", bytes(data[start : start + 16]))
-        body = zstandard.ZstdDecompressor().decompress(bytes(data[start + 16 : start + packed]), max_output_size=head[2] * 24)
-        self.index = [struct.unpack_from("<qIIQ", body, i * 24) for i in range(head[2])]
+        width = struct.calcsize(ENTRY)
+        body = zstandard.ZstdDecompressor().decompress(bytes(data[start + 16 : start + packed]), max_output_size=head[2] * width)
+        entries = (struct.unpack_from(ENTRY, body, i * width) for i in range(head[2]))
+        self.index = [(page_id if named else None, *place) for named, page_id, *place in entries]
         self.unpacker = zstandard.ZstdDecompressor()
 
     def frame(self, i: int) -> bytes:
         at, packed, raw = self.frames[i]
         return self.unpacker.decompress(bytes(self.data[at : at + packed]), max_output_size=raw)
 
-    def fetch(self, page_id: int) -> list[dict]:
-        """The records of an id; one frame is read for each."""
+    def fetch(self, page_id: int | None) -> list[dict]:
+        """The records of an id, or those without one; one frame is read for each."""
         return [parse_record(self.frame(f)[at : at + n]) for i, f, at, n in self.index if i == page_id]
 
     def records(self) -> Iterator[tuple[int, int, int, dict]]:
@@ -166,8 +208,8 @@ def plan_records(pages: DataFrame, least: int = 0) -> DataFrame:
     )
 
 
-def write_bundles(pages: DataFrame, path: str, least: int = 0) -> None:
-    """Write a record for each row of ``pages`` (page_id, url, html) into bundles under ``path``, one for each task.
+def write_bundles(pages: DataFrame, path: str, least: int = 0, frame_bytes: int = FRAME_BYTES, bundle_rows: int = BUNDLE_ROWS, bundle_bytes: int = BUNDLE_BYTES) -> None:
+    """Write a record for each row of ``pages`` (page_id, url, html) into bundles under ``path``, one or more for each task.
 
     A null html is an empty payload, a null url has no target header, a null page_id an empty record name. Pages with
     equal payloads and the same, largest page_id are all responses. Extra columns are ignored; an empty table writes no
@@ -175,18 +217,18 @@ def write_bundles(pages: DataFrame, path: str, least: int = 0) -> None:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bundle = BundleWriter()
+        bundle = BundleWriter(frame_bytes, bundle_rows, bundle_bytes)
         row = lambda x: pa.RecordBatch.from_arrays([pa.array([x], pa.binary())], ["frame"])
         for piece in slices(batches, "payload"):
             for x in piece.to_pylist():
-                done = bundle.add(_record(x["page_id"], x["url"], x["payload"] or b"", x["sha1"], x["size"], x["refers_to"], x["revisit"]), x["page_id"])
-                if done:
+                record = _record(x["page_id"], x["url"], x["payload"] or b"", x["sha1"], x["size"], x["refers_to"], x["revisit"])
+                for done in bundle.add(record, x["page_id"]):
                     yield row(done)
         for x in bundle.end():
             yield row(x)
 
     frames = plan_records(pages, least).mapInArrow(run, "frame binary")
-    frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR).option("compression", "none").text(path)
+    frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR).option("maxRecordsPerFile", bundle_rows).option("compression", "none").text(path)
 
 
 def read_bundles(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
@@ -229,6 +271,11 @@ def read_bundles(spark: SparkSession, path: str, payloads: bool = True) -> DataF
     return files.mapInArrow(run, schema)
 
 
+def open_bundle(spark: SparkSession, path: str) -> Bundle:
+    """A bundle of which only the seek table, the index and the frames asked for are read."""
+    return Bundle(RangedFile(spark, path))
+
+
 def archive(pages: DataFrame, payloads: bool = False) -> DataFrame:
     """Write ``pages`` into bundles in the shared folder and read them back."""
     spark = pages.sparkSession

@@ -398,14 +398,38 @@ def test_bundles_round_trip(spark, tmp_path):
             bundle = warc.Bundle(data)
             assert whole.startswith(b"WARC/1.1\r\n") and len(whole) == sum(raw for _, _, raw in bundle.frames)
             for page_id, *_ in bundle.index:
-                assert any(x["page_id"] in (page_id, None) for x in bundle.fetch(page_id))
+                assert all(x["page_id"] == page_id for x in bundle.fetch(page_id))
     assert warc.archive(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(("most_rows", "most_bytes"), [(4, 1 << 30), (16, 3000)])
+def test_bundles_roll_over(spark, tmp_path, most_rows, most_bytes):
+    rnd = random.Random(7)
+    rows = [(None if i == 50 else i, f"u{i}", "".join(rnd.choices("abcdefghijklmnop", k=rnd.randint(0, 900)))) for i in range(200)]
+    path = f"file://{tmp_path}/warc"
+    writer, files, held = warc.BundleWriter(2000, most_rows, most_bytes), [], []
+    for i, u, h in rows:
+        for x in writer.add(warc._record(i, u, h.encode(), hashlib.sha1(h.encode()).hexdigest(), len(h), None, False), i):
+            held.append(x)
+    held += writer.end()
+    for at in range(0, len(held), most_rows):  # as the writer does
+        files.append(b"".join(x + warc.SEPARATOR.encode() for x in held[at : at + most_rows]))
+    found = [x for f in files for *_, x in warc.Bundle(f).records()]
+    assert len(files) > 3 and [(x["page_id"], x["payload"].decode()) for x in found] == [(i, h) for i, _, h in rows]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    warc.write_bundles(pages, path, 0, 2000, most_rows, most_bytes)
+    parts = sorted(tmp_path.glob("warc/part-*"))
+    assert len(parts) == len(files) and warc.read_bundles(spark, path).count() == len(rows)
+    ranged = warc.open_bundle(spark, f"file://{parts[1]}")
+    some = ranged.index[3][0]
+    assert ranged.fetch(some)[0]["page_id"] == some and ranged.data.read < len(ranged.data)
+    assert sum(len(warc.Bundle(p.read_bytes()).fetch(None)) for p in parts) == 1 and sum(len(warc.Bundle(p.read_bytes()).fetch(0)) for p in parts) == 1
+
+
 # search
 
 
-def test_top_k_matches_brute_force(spark):
+def test_top_k_matches_brute_force(spark, monkeypatch):
     rnd = np.random.default_rng(2)
     rows = [(i, rnd.normal(size=20).round(2).tolist()) for i in range(900)] + [(1000, None), (1100, [1.0, None]), (1200, [float("nan")] * 20), (300, rows0 := [0.0] * 20), (1300, []), (1301, []), (1400, [3e30] * 20), (None, rows0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1))
@@ -420,6 +444,8 @@ def test_top_k_matches_brute_force(spark):
         want += [(i, r, j, s) for r, (s, j) in enumerate(best, 1)]
     assert sorted(map(tuple, topk.top_k(df).collect())) == sorted(want)
     assert topk.top_k(df.limit(0)).count() == 0
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 3)
+    assert sorted(map(tuple, topk.top_k(df).collect())) == sorted(want)
 
 
 # models
