@@ -26,6 +26,8 @@ DIMENSIONS = 1024
 SYMBOLS = 128
 #: Labelled texts that prototypes are made of, at most.
 MOST_LABELLED = 20_000
+#: Characters of a text that are bundled at once.
+PIECE = 1 << 20
 SEED = 20_240_501
 UNKNOWN = "und"
 
@@ -34,15 +36,10 @@ UNKNOWN = "und"
 def symbol_table() -> np.ndarray:
     """Symbol of each code point: 0 for all that is no letter; the two cases of a letter share one."""
     out = np.zeros(0x110000, np.uint8)
-    for cp in [*range(0x3400), *range(0xA000, 0xD7B0), *range(0xF900, 0x10000)]:
+    for cp in range(0x110000):
         if unicodedata.category(chr(cp))[0] == "L":
             low = ord(chr(cp).lower()[0])
             out[cp] = low - 96 if 97 <= low <= 122 else 27 + low % (SYMBOLS - 27)
-    for first, end in ((0x3400, 0x4DC0), (0x4E00, 0xA000), (0x20000, 0x32000)):  # ideographs
-        out[first:end] = 27 + np.arange(first, end) % (SYMBOLS - 27)
-    for cp in range(0x10000, 0x1F000):
-        if unicodedata.category(chr(cp))[0] == "L":
-            out[cp] = 27 + cp % (SYMBOLS - 27)
     return out
 
 
@@ -53,25 +50,27 @@ def letter_vectors() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.roll(base, 2, axis=1), np.roll(base, 1, axis=1), base
 
 
-def trigrams(text: str) -> np.ndarray:
-    """Codes of a text's trigrams; runs of other characters count as one word boundary. Empty if there is no letter."""
-    s = symbol_table()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)]
-    if not s.any():
-        return np.zeros(0, np.int64)
-    keep = np.ones(len(s), bool)
-    keep[1:] = (s[1:] != 0) | (s[:-1] != 0)
-    s = np.concatenate(([0], s[keep], [0])).astype(np.int64)
-    codes = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
-    return codes[s[1:-1] != 0] if len(s) > 3 else codes
+def trigrams(text: str, piece: int = PIECE) -> Iterator[np.ndarray]:
+    """Codes of a text's trigrams around a letter, piece by piece; runs of other characters count as one word boundary."""
+    table, tail = symbol_table(), np.zeros(1, np.int64)
+    for at in range(0, len(text) + 1, piece):
+        s = table[np.frombuffer(text[at : at + piece].encode("utf-32-le", "surrogatepass"), np.uint32)].astype(np.int64)
+        if at + piece > len(text):
+            s = np.append(s, 0)  # the end is a boundary, too
+        s = np.concatenate((tail, s))
+        keep = np.ones(len(s), bool)
+        keep[len(tail) :] = (s[len(tail) :] != 0) | (s[len(tail) - 1 : -1] != 0)
+        s = s[keep]
+        codes = (s[:-2] * SYMBOLS + s[1:-1]) * SYMBOLS + s[2:]
+        yield codes[s[1:-1] != 0]
+        tail = s[-2:]
 
 
 def bundle(text: str | None) -> np.ndarray | None:
     """A text's vector, or None if it is null or has no letter. Long texts are bundled whole, piece by piece."""
-    if not text:
-        return None
     total = None
-    for at in range(0, len(text), 1 << 20):
-        codes, n = np.unique(trigrams(text[max(0, at - 2) : at + (1 << 20)]), return_counts=True)
+    for found in trigrams(text or ""):
+        codes, n = np.unique(found, return_counts=True)
         if not len(codes):
             continue
         a, b, c = letter_vectors()
@@ -106,10 +105,11 @@ class Profiles:
 def fit(docs: DataFrame, most: int = MOST_LABELLED) -> Profiles:
     """Prototypes from texts of known language that aren't held out, ``most`` at most, chosen by a hash of the id.
 
-    Each task bundles its texts by language and hands on one vector for each; their number is that of the languages.
+    Rows with a null doc_id, text or lang teach nothing; repeated rows count one by one. Each task bundles its texts by
+    language and hands on one vector for each; their number is that of the languages.
     """
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    rows = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
+    rows = rows.filter(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     rows = bounded_sample(rows, F.col("doc_id"), most, 3).select("text", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

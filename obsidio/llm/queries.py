@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from .common import held_out, table
+from .common import held_out, materialise, table
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,9 +37,10 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .tokencount import count_edited, scripted_edits
+    from .tokencount import apply_edits, build_trees, scripted_edits
 
-    return count_edited(scripted_edits(table(spark, sf_dir, "documents"))).drop("text")
+    trees = materialise(build_trees(table(spark, sf_dir, "documents")), "token-trees")
+    return apply_edits(scripted_edits(trees)).select("doc_id", "n_tokens_before", "n_tokens", "n_pieces", "n_recounted")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

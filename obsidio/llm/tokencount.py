@@ -3,6 +3,9 @@
 A document's pre-tokens lie in the leaves of a segment tree whose nodes hold sums of characters and tokens. An edit finds
 its leaf by the character sums, splits the text anew from the last pre-token that can't have seen the edit until the
 boundaries fall together with the old ones again, counts the tokens of that stretch only, and updates the sums above it.
+
+Trees are kept as a table: the text, the length and token number of each pre-token, the pre-tokens of each leaf, and the
+sums of the nodes. Edits that come later are applied to the stored trees, and give the next table of trees.
 """
 
 from __future__ import annotations
@@ -11,6 +14,7 @@ import base64
 import functools
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 import tiktoken
@@ -62,23 +66,36 @@ class TokenTree:
     """Pre-tokens of one text in a segment tree of character and token sums."""
 
     def __init__(self, text: str, using: Counter):
-        self.using = using
-        self.recounted = 0
-        self._build(using.pattern.findall(text))
-        self.recounted = 0
-
-    def _build(self, pieces: list[str]) -> None:
-        self.leaves = [pieces[i : i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
-        self.size = 1
-        while self.size < len(self.leaves):
-            self.size *= 2
+        self.using, self.recounted = using, 0
+        pieces = using.pattern.findall(text)
+        self._build(pieces, list(map(using.count, pieces)))
+
+    def _build(self, pieces: list[str], counts: list[int]) -> None:
+        at = range(0, max(len(pieces), 1), LEAF)
+        self.leaves, self.counts = [pieces[i : i + LEAF] for i in at], [counts[i : i + LEAF] for i in at]
+        self.size = 1 << (len(self.leaves) - 1).bit_length()
         self.chars, self.tokens = [0] * (2 * self.size), [0] * (2 * self.size)
         for i, leaf in enumerate(self.leaves):
-            self.chars[self.size + i], self.tokens[self.size + i] = sum(map(len, leaf)), sum(map(self.using.count, leaf))
+            self.chars[self.size + i], self.tokens[self.size + i] = sum(map(len, leaf)), sum(self.counts[i])
         for i in range(self.size - 1, 0, -1):
             self.chars[i] = self.chars[2 * i] + self.chars[2 * i + 1]
             self.tokens[i] = self.tokens[2 * i] + self.tokens[2 * i + 1]
 
+    def stored(self) -> tuple:
+        """The tree as a row: text, characters and tokens of each pre-token, pre-tokens of each leaf, sums of the nodes."""
+        return self.text(), [len(x) for leaf in self.leaves for x in leaf], [n for leaf in self.counts for n in leaf], list(map(len, self.leaves)), self.chars, self.tokens
+
+    @classmethod
+    def restored(cls, using: Counter, text: str, piece_chars: list[int], piece_tokens: list[int], leaf_pieces: list[int], chars: list[int], tokens: list[int]) -> TokenTree:
+        """The tree of a row. Nothing is split or counted."""
+        tree = cls.__new__(cls)
+        tree.using, tree.recounted, tree.chars, tree.tokens, tree.size = using, 0, list(chars), list(tokens), len(chars) // 2
+        ends, bounds = np.cumsum(piece_chars, dtype=np.int64).tolist(), np.cumsum([0, *leaf_pieces], dtype=np.int64).tolist()
+        pieces = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        tree.leaves = [pieces[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        tree.counts = [list(piece_tokens[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+        return tree
+
     @property
     def n_chars(self) -> int:
         return self.chars[1]
@@ -105,12 +122,11 @@ class TokenTree:
                 node += 1
         return min(node - self.size, len(self.leaves) - 1), begin
 
-    def _set(self, i: int, leaf: list[str], tokens: int) -> None:
+    def _set(self, i: int, leaf: list[str], counts: list[int]) -> None:
         """Put ``leaf`` in place i and carry the change of its sums upward."""
         node = self.size + i
-        chars = sum(map(len, leaf)) - self.chars[node]
-        tokens -= self.tokens[node]
-        self.leaves[i] = leaf
+        chars, tokens = sum(map(len, leaf)) - self.chars[node], sum(counts) - self.tokens[node]
+        self.leaves[i], self.counts[i] = leaf, counts
         while node:
             self.chars[node] += chars
             self.tokens[node] += tokens
@@ -129,11 +145,11 @@ class TokenTree:
                 break
             begin += len(piece)
             head += 1
-        last, old = first, self.leaves[first][head:]
+        last, old, numbers = first, self.leaves[first][head:], self.counts[first][head:]
         have = sum(map(len, old))
         while have < at - begin + deleted + LOOKAHEAD and last + 1 < len(self.leaves):
             last += 1
-            old = old + self.leaves[last]
+            old, numbers = old + self.leaves[last], numbers + self.counts[last]
             have += self.chars[self.size + last]
         cut, shift = at - begin, len(inserted) - deleted
         text = "".join(old)
@@ -156,6 +172,7 @@ class TokenTree:
                         bounds[total + shift] = len(old)
                     old.append(piece)
                     total += len(piece)
+                numbers += self.counts[last]
                 text += "".join(self.leaves[last])
                 kept = len(old)
                 continue
@@ -165,60 +182,83 @@ class TokenTree:
             now = found.end()
         self.recounted += len(new)
         leaf = self.leaves[first][:head] + new + old[kept:]
+        counts = self.counts[first][:head] + list(map(self.using.count, new)) + numbers[kept:]
         for i in range(first + 1, last + 1):
-            self._set(i, [], 0)
-        self._set(first, leaf, sum(map(self.using.count, leaf)))
+            self._set(i, [], [])
+        self._set(first, leaf, counts)
         if len(leaf) > FULL:
-            self._build([x for part in self.leaves for x in part])
+            self._build([x for part in self.leaves for x in part], [n for part in self.counts for n in part])
+
+
+TREE = "text string, piece_chars array<int>, piece_tokens array<int>, leaf_pieces array<int>, chars array<long>, tokens array<long>"
+TREE_COLUMNS = [x.split()[0] for x in TREE.split(", ")]
+_KINDS = [pa.string(), *[pa.list_(pa.int32())] * 3, *[pa.list_(pa.int64())] * 2]
+_COUNTS = ["n_tokens_before", "n_tokens", "n_pieces", "n_recounted"]
+
+
+def _columns(rows: list[tuple], kinds: list) -> list[pa.Array]:
+    return [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+
+
+def build_trees(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """The tree of every whole text, as a table to keep: doc_id and TREE_COLUMNS.
+
+    ``docs`` has doc_id and text; other columns are ignored, whatever their names. Null text counts as empty. Rows are
+    mapped one by one, so that ties, repeated rows and null ids give a row each; an empty table gives an empty result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        using = counter(path)
+        for piece in slices(batches, "text"):
+            rows = [TokenTree(text or "", using).stored() for text in piece.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([piece.column(0), *_columns(rows, _KINDS)], ["doc_id", *TREE_COLUMNS])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(run, f"doc_id long, {TREE}")
 
 
-def attach_edits(docs: DataFrame, edits: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with their edits, rows of (doc_id, seq, at, deleted, inserted), in the order of seq.
+def attach_edits(trees: DataFrame, edits: DataFrame) -> DataFrame:
+    """``trees`` with their edits, rows of (doc_id, seq, at, deleted, inserted), in the order of seq, nulls first.
 
-    Ties of seq go by position and content. A document's own edits are brought together, as they build on each other.
+    Ties of seq go by position and content. A document's own edits are brought together, as they build on each other; each
+    row of a repeated doc_id gets them all. Edits without an id or of no document change nothing, and a table without edits
+    gives every tree none. Other columns of the edits are ignored.
     """
-    by_doc = edits.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("seq", "at", "deleted", "inserted"))), lambda e: e.dropFields("seq")).alias("edits"))
-    return docs.select("doc_id", "text").join(by_doc, "doc_id", "left")
+    step = F.struct(F.col("seq"), F.col("at").cast("long"), F.col("deleted").cast("long"), F.col("inserted").cast("string"))
+    by_doc = edits.groupBy("doc_id").agg(F.transform(F.array_sort(F.collect_list(step)), lambda e: e.dropFields("seq")).alias("edits"))
+    return trees.join(by_doc, "doc_id", "left")
 
 
-def count_edited(docs: DataFrame, path: str | None = None, texts: bool = False) -> DataFrame:
-    """Token numbers before and after each document's edits.
+def apply_edits(trees: DataFrame, path: str | None = None) -> DataFrame:
+    """Stored trees after their edits, with token numbers before and after.
 
-    ``docs`` has doc_id, text and edits, an array of (at, deleted, inserted) that is applied from first to last; other
-    columns are ignored. Null text counts as empty, and null edits as none; within an edit, null numbers count as 0 and
-    null insertions as empty, and what reaches beyond the text is cut off. Rows are mapped one by one, so that ties,
-    repeated rows and null ids give a row each; an empty table gives an empty result. Nothing is shuffled.
+    ``trees`` has doc_id, TREE_COLUMNS and edits, an array of (at, deleted, inserted) that is applied from first to last.
+    Null edits count as none; within an edit, null numbers count as 0 and null insertions as empty, and what reaches beyond
+    the text is cut off. Rows are mapped one by one; nothing is shuffled.
 
-    Returns doc_id, n_tokens_before, n_tokens, n_pieces, n_recounted (pre-tokens counted anew for the edits) and, with
-    ``texts``, text after the edits, which is null otherwise.
+    Returns doc_id, TREE_COLUMNS, n_tokens_before, n_tokens, n_pieces, n_recounted (pre-tokens counted anew for the edits).
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         using = counter(path)
         for piece in slices(batches, "text"):
             rows = []
-            for text, edits in zip(piece.column(1).to_pylist(), piece.column(2).to_pylist(), strict=True):
-                tree = TokenTree(text or "", using)
+            for *stored, edits in zip(*(c.to_pylist() for c in piece.columns[1:]), strict=True):
+                tree = TokenTree.restored(using, *stored)
                 before = tree.n_tokens
                 for e in edits or ():
                     if e:
                         tree.edit(e["at"] or 0, e["deleted"] or 0, e["inserted"] or "")
-                rows.append((before, tree.n_tokens, tree.n_pieces, tree.recounted, tree.text() if texts else None))
-            kinds = [pa.int64()] * 4 + [pa.string()]
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))],
-                ["doc_id", "n_tokens_before", "n_tokens", "n_pieces", "n_recounted", "text"],
-            )
+                rows.append((*tree.stored(), before, tree.n_tokens, tree.n_pieces, tree.recounted))
+            yield pa.RecordBatch.from_arrays([piece.column(0), *_columns(rows, [*_KINDS, *[pa.int64()] * 4])], ["doc_id", *TREE_COLUMNS, *_COUNTS])
 
-    rows = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("edits").cast("array<struct<at:bigint,deleted:bigint,inserted:string>>").alias("edits")
-    )
-    return rows.mapInArrow(run, "doc_id long, n_tokens_before long, n_tokens long, n_pieces long, n_recounted long, text string")
+    rows = trees.select("doc_id", *TREE_COLUMNS, F.col("edits").cast("array<struct<at:bigint,deleted:bigint,inserted:string>>").alias("edits"))
+    return rows.mapInArrow(run, f"doc_id long, {TREE}, {', '.join(f'{c} long' for c in _COUNTS)}")
 
 
-def scripted_edits(docs: DataFrame) -> DataFrame:
-    """``docs`` with a script of edits that depends on the text alone: a replacement, a deletion and two insertions."""
+def scripted_edits(trees: DataFrame) -> DataFrame:
+    """``trees`` with a script of edits that depends on the text alone: a replacement, a deletion and two insertions."""
     n = F.coalesce(F.char_length("text"), F.lit(0))
     edit = lambda at, deleted, inserted: F.struct(at.cast("long").alias("at"), F.lit(deleted).cast("long").alias("deleted"), F.lit(inserted).alias("inserted"))
     script = F.array(edit(F.floor(n / 3), 9, " [masked] "), edit(F.floor(2 * n / 3), 17, ""), edit(F.lit(0), 0, "Title: "), edit(F.floor(n / 2), 0, "\n"))
-    return docs.select("doc_id", "text", script.alias("edits"))
+    return trees.withColumn("edits", script)

@@ -22,12 +22,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import bounded_sample, held_out, slices
+from .common import bounded_sample, discard, held_out, materialise, slices
 
 #: Labelled rows that a model is fitted on, at most.
 MOST_LABELLED = 30_000
-#: Words and stems that a model keeps, at most; those of the largest absolute z-scores.
-MOST_TOKENS = 100_000
 STEM = 5
 WORD_PRIOR, STEM_PRIOR = 2.0, 1.0
 DRIFT = 0.5
@@ -152,17 +150,20 @@ def _counts(rows: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MOST_LABELLED) -> Model:
     """Fit on at most about ``most`` labelled rows that aren't held out; the driver gets the fitted tables alone.
 
-    ``docs`` has doc_id and text, ``labels`` doc_id and ``label``. Rows without a label, an id or text teach nothing.
+    ``docs`` has doc_id and text, ``labels`` doc_id and ``label``. Rows without a label, an id or text teach nothing; of
+    several labels of one id the largest counts, and rows that repeat a doc_id count one by one.
     Without any labelled rows, or with one class only, no token is evidence and every score is low.
     """
     known = labels.filter(F.col(label).isin(0, 1) & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     known = bounded_sample(known, F.col("doc_id"), most, 11)
     rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text")).filter(F.col("text").isNotNull())
-    train = rows.join(F.broadcast(known), "doc_id").select("text", "label")  # known: two numbers a row, at most `most` rows
+    # known: two numbers a row, at most `most` rows; their texts are written, as they are read again and again
+    train = materialise(rows.join(F.broadcast(known), "doc_id").select("text", "label"), "tox-train")
 
     counts = _counts(train).groupBy("word").agg(
         F.sum(F.when(F.col("label") == 1, F.col("n")).otherwise(0)).alias("toxic"), F.sum(F.when(F.col("label") == 0, F.col("n")).otherwise(0)).alias("other")
     )
+    counts = materialise(counts, "tox-counts")
     model = _tables(counts) or Model(pa.array([], pa.large_string()), np.zeros(0), pa.array([], pa.large_string()), np.zeros(0))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,10 +193,13 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = MO
             model.k = float(np.clip(np.mean(np.exp(np.minimum(model.lam * best[y == 0], 50.0)).clip(max=1e3) / m[y == 0]), 1e-4, 1.0))
         weighed = train.mapInArrow(weigh, "label int, evidence double").collect()  # at most `most` rows, too
         model.slope, model.offset = _logistic(np.array([r[1] for r in weighed]), np.array([r[0] for r in weighed]))
+    discard(train, counts)
     return model
 
 
 def _tables(counts: DataFrame) -> Model | None:
+    """Words and stems that are evidence, and words that overrule their stem. As each is in several of the labelled texts,
+    whose number is bounded, so is the size of the tables."""
     totals = counts.agg(F.sum("toxic"), F.sum("other")).first()
     n_toxic, n_other = int(totals[0] or 0), int(totals[1] or 0)
     if not n_toxic or not n_other:
@@ -210,7 +214,7 @@ def _tables(counts: DataFrame) -> Model | None:
         return df.withColumn("s", value).withColumn("z", value / F.sqrt(1 / (a + 0.5) + 1 / (b + 0.5)))
 
     stems = scored(stems, F.lit(STEM_PRIOR * base), F.lit(STEM_PRIOR * (1 - base)))
-    firm_stems = stems.filter(F.abs("z") >= LEAST_Z).orderBy(F.abs("z").desc(), "stem").limit(MOST_TOKENS).collect()
+    firm_stems = stems.filter(F.abs("z") >= LEAST_Z).orderBy("stem").collect()
     # a word's prior: its stem's rates, worth WORD_PRIOR words
     words = counts.withColumn("stem", F.substring("word", 1, STEM)).join(
         stems.select("stem", F.col("toxic").alias("st"), F.col("other").alias("so")), "stem"
@@ -218,7 +222,7 @@ def _tables(counts: DataFrame) -> Model | None:
     share = (F.col("st") + STEM_PRIOR * base) / (F.col("st") + F.col("so") + STEM_PRIOR)
     words = scored(words, WORD_PRIOR * share, WORD_PRIOR * (1 - share)).filter((F.col("toxic") + F.col("other") >= 3) & (F.length("word") > 0))
     # a word of a firm stem that is not itself firm is neutral; others are unknown anyway
-    firm_words = words.filter((F.abs("z") >= LEAST_Z) | (F.col("toxic") + F.col("other") >= 20)).orderBy(F.abs("z").desc(), "word").limit(MOST_TOKENS).collect()
+    firm_words = words.filter((F.abs("z") >= LEAST_Z) | (F.col("toxic") + F.col("other") >= 20)).orderBy("word").collect()
     value = lambda rows: np.array([r["s"] if abs(r["z"]) >= LEAST_Z else 0.0 for r in rows])
     return Model(
         pa.array([r["word"] for r in firm_words], pa.large_string()),
@@ -267,8 +271,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     """Score every whole text. ``docs`` has doc_id and text; other columns are ignored, whatever their names.
 
     Null, empty and wordless texts have no passages and the lowest score. Rows are mapped one by one: ties, repeated rows
-    and null ids give a row each; an empty table gives an empty result. The model's tables hold at most 2 * MOST_TOKENS
-    entries. Nothing is shuffled.
+    and null ids give a row each; an empty table gives an empty result. Nothing is shuffled.
 
     Returns doc_id, score (0 to 1) and passages: array of (first_word, end_word, score, expected).
     """

@@ -267,18 +267,32 @@ def test_edited_counts_match_recounts(odd, empty):
             tree.edit(at, gone, new)
             text = text[: min(at, len(text))] + new + text[min(at, len(text)) + gone :]
             assert tree.text() == text and tree.n_tokens == len(using.encoding.encode_ordinary(text))
-    rows = tokencount.count_edited(tokencount.scripted_edits(odd), texts=True).collect()
+            again = tokencount.TokenTree.restored(using, *tree.stored())
+            assert again.stored() == tree.stored()
+            tree = again
+    trees = tokencount.build_trees(odd)
+    rows = tokencount.apply_edits(tokencount.scripted_edits(trees)).collect()
     assert len(rows) == len(ODD)
     for r in rows:
         assert r.n_tokens == len(using.encoding.encode_ordinary(r.text)) and r.n_recounted <= 60
-    assert tokencount.count_edited(tokencount.scripted_edits(empty)).count() == 0
-
-
-def test_edits_from_a_table(spark):
-    docs = spark.createDataFrame([(1, "one two three"), (2, None)], "doc_id long, text string")
-    edits = spark.createDataFrame([(1, 2, 0, 4, ""), (1, 1, 4, 3, "2"), (2, 1, None, None, None)], "doc_id long, seq int, at long, deleted long, inserted string")
-    out = {r.doc_id: r.text for r in tokencount.count_edited(tokencount.attach_edits(docs, edits), texts=True).collect()}
-    assert out == {1: "2 three", 2: ""}
+    assert tokencount.apply_edits(tokencount.scripted_edits(tokencount.build_trees(empty))).count() == 0
+
+
+def test_later_edits_of_stored_trees(spark):
+    using = tokencount.counter()
+    docs = spark.createDataFrame([(1, "one two three"), (2, None), (3, LONG), (3, "other"), (None, "x")], "doc_id long, text string").withColumn("tokens", F.lit("clash"))
+    schema = "doc_id long, seq int, at long, deleted long, inserted string"
+    first = spark.createDataFrame([(1, 2, 0, 4, ""), (1, 1, 4, 3, "2"), (2, 1, None, None, None), (3, None, 0, 0, "New "), (None, 1, 0, 1, "z"), (9, 1, 0, 1, "z")], schema).withColumn("chars", F.lit(1))
+    trees = common.materialise(tokencount.build_trees(docs), "test-trees")
+    once = common.materialise(tokencount.apply_edits(tokencount.attach_edits(trees, first)).select("doc_id", *tokencount.TREE_COLUMNS), "test-trees")
+    assert sorted(r.text[:7] for r in once.collect()) == sorted(["2 three", "", "New wor", "New oth", "x"])
+    second = spark.createDataFrame([(3, 1, 300_000, 5, " again "), (1, 1, 0, 0, "1 ")], schema)
+    rows = tokencount.apply_edits(tokencount.attach_edits(once, second)).collect()
+    assert len(rows) == 5 and all(r.n_tokens == len(using.encoding.encode_ordinary(r.text)) for r in rows)
+    long = max(rows, key=lambda r: r.n_pieces)
+    assert " again " in long.text and long.n_recounted < 20 < long.n_pieces
+    untouched = tokencount.apply_edits(tokencount.attach_edits(once, second.limit(0))).collect()
+    assert all(r.n_tokens == r.n_tokens_before and r.n_recounted == 0 for r in untouched) and len(untouched) == 5
 
 
 # mixing
