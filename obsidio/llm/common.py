@@ -16,8 +16,8 @@ ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Python code holds at most this many bytes of text at a time, one longer text aside.
 SLICE_BYTES = 4 << 20
 
-#: Bits of the bitmap of ``maybe_in``. 2 ** 24 bits make 512 rows of 4 KB: what is broadcast is 2 MB at most, for any input.
-FILTER_BITS = 24
+#: Bits of the bitmap of ``maybe_in`` at most: what is broadcast is 32 MB at most, for any input.
+FILTER_BITS = 28
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -46,6 +46,18 @@ def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:
     return out
 
 
+def numbered(docs: DataFrame, tag: str) -> DataFrame:
+    """(number, row): the rows of ``docs`` as structs, so that no column of theirs can clash, each with a number of its own.
+    Written, as numbers must not change."""
+    return materialise(docs.select(F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("row")), tag)
+
+
+def without(rows: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """The rows whose ``key`` is not in ``dropped``, a written table. Few rows but those that go are shuffled."""
+    there = maybe_in(rows, dropped, key).join(dropped.select(key), key, "left_anti")
+    return maybe_in(rows, dropped, key, keep=False).unionByName(there)
+
+
 def release(spark: SparkSession) -> None:
     """Let go of the shuffle files of finished steps. They stay until the driver collects its garbage, which it may not do
     for long: it is asked to here."""
@@ -84,11 +96,17 @@ def unit_hash(col: Column, seed: int) -> Column:
 
 
 def maybe_in(rows: DataFrame, ids: DataFrame, key: str, keep: bool = True) -> DataFrame:
-    """Rows of ``rows`` whose ``key`` may be among those of ``ids``: all that are, and few others. No rows are shuffled.
+    """Rows of ``rows`` whose ``key`` may be among those of ``ids``: all that are, and few others.
 
-    The ids are hashed into a bitmap of 2 ** FILTER_BITS bits, which is broadcast. With ``keep`` off, the rows left out.
+    The ids are counted and hashed into a bitmap of 8 to 16 bits for each, which is broadcast if it has 2 ** FILTER_BITS
+    bits at most: then no rows are shuffled. More ids are matched by a join, which moves the rows once. With ``keep`` off,
+    the rows left out.
     """
-    slot = F.pmod(F.xxhash64(key), F.lit(1 << FILTER_BITS))
+    bits = max(16, (8 * ids.count()).bit_length())
+    if bits > FILTER_BITS:
+        ids = ids.select(F.col(key).alias("_id")).distinct()
+        return rows.join(ids, rows[key].eqNullSafe(ids["_id"]), "left_semi" if keep else "left_anti")
+    slot = F.pmod(F.xxhash64(key), F.lit(1 << bits))
     bitmaps = (
         ids.select(slot.alias("_slot"))
         .groupBy(F.expr("bitmap_bucket_number(_slot)").alias("_bucket"))

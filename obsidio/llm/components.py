@@ -39,3 +39,18 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         state = now
     comps = edges.select(F.col("u").alias("node"), F.col("v").alias("comp"))
     return comps.unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("comp")).distinct())
+
+
+def joined_up(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` (node, comp) after more ``links`` (a, b), written. Only the components that these join are worked on: the
+    links between components are a graph of its own, and a small one where most is joined already."""
+    ends = links
+    for end in ("a", "b"):
+        own = comps.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+        ends = ends.join(own, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+    between = materialise(ends.select("comp_a", "comp_b").filter("comp_a <> comp_b").distinct(), "cc-between")
+    if between.isEmpty():
+        return comps
+    moved = materialise(connected_components(between, "comp_a", "comp_b"), "cc-moved")
+    later = comps.join(moved.select(F.col("node").alias("comp"), F.col("comp").alias("later")), "comp", "left").select("node", F.coalesce("later", "comp").alias("comp"))
+    return materialise(later.unionByName(moved.join(comps.select("node"), "node", "left_anti")), "cc-joined")

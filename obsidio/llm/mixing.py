@@ -5,24 +5,19 @@ of slots from floor(j / w) to ceil((j + 1) / w); in every slot the released bloc
 by the source's name. So after any number of slots each source is less than one block away from its share. When a source
 runs out, the others share its slots by their weights from there on. Executors compute the windows from the weights
 themselves, kept as integers of WEIGHT_BITS bits, and the driver serves them in stretches of slots.
-
-``phases_of`` plans with weights rounded to shares of a period, which drifts from the weights; ``mix`` doesn't use it.
 """
 
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
 from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .common import materialise, scratch_path, unit_hash
+from .common import materialise, numbered, scratch_path, unit_hash
 
-#: Slots of a period of ``phases_of`` at most, apart from one at least for each source.
-PERIOD = 1000
 BLOCK_ROWS = 64
 #: Bits of the largest weight, and slots that a computed time may be off: windows are narrower by it, so none is too wide.
 WEIGHT_BITS, MARGIN = 52, 1 / 128
@@ -33,70 +28,6 @@ STRETCH, MOST_CUT = 4096, 1000
 SEED = 17
 
 
-def shares_of(weights: dict[str, float], period: int = PERIOD) -> dict[str, int]:
-    """Whole shares, one at least, that add up to ``period`` where that leaves room; largest remainders go up."""
-    total = sum(weights.values())
-    exact = {s: w / total * period for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    for s in sorted(exact, key=lambda s: (int(exact[s]) - exact[s], s)):
-        if sum(out.values()) >= period:
-            break
-        out[s] += 1
-    return out
-
-
-def period_of(shares: dict[str, int]) -> dict[str, list[int]]:
-    """The slots of each source in one period, earliest deadline first."""
-    size = sum(shares.values())
-    release = {s: 0 for s in shares}
-    served: dict[str, list[int]] = {s: [] for s in shares}
-    waiting = [(0, s) for s in sorted(shares)]
-    heapq.heapify(waiting)
-    ready: list[tuple[int, str]] = []
-    for slot in range(size):
-        while waiting and waiting[0][0] <= slot:
-            _, s = heapq.heappop(waiting)
-            heapq.heappush(ready, (-(-(len(served[s]) + 1) * size // shares[s]), s))
-        _, s = heapq.heappop(ready)
-        served[s].append(slot)
-        k = len(served[s])
-        if k < shares[s]:
-            release[s] = k * size // shares[s]
-            heapq.heappush(waiting, (max(release[s], slot + 1), s))
-    return served
-
-
-@dataclass
-class Phase:
-    """From slot ``slot`` on, source s serves its blocks first[s] to end[s] - 1 in a period of ``size`` slots."""
-
-    slot: int
-    size: int
-    first: dict[str, int]
-    end: dict[str, int]
-    served: dict[str, list[int]]
-
-
-def phases_of(blocks: dict[str, int], weights: dict[str, float], period: int = PERIOD) -> list[Phase]:
-    """The phases that serve all blocks of all sources."""
-    left = {s: n for s, n in blocks.items() if n > 0}
-    done = dict.fromkeys(left, 0)
-    slot, out = 0, []
-    while left:
-        shares = shares_of({s: weights[s] for s in left}, period)
-        size, served = sum(shares.values()), period_of(shares)
-        last = lambda s: (left[s] - 1) // shares[s] * size + served[s][(left[s] - 1) % shares[s]]
-        length = min(map(last, left)) + 1
-        taken = {s: length // size * shares[s] + sum(x < length % size for x in served[s]) for s in left}
-        out.append(Phase(slot, size, {s: done[s] for s in left}, {s: done[s] + taken[s] for s in left}, served))
-        slot += length
-        for s, n in taken.items():
-            done[s] += n
-            left[s] -= n
-        left = {s: n for s, n in left.items() if n}
-    return out
-
-
 def plan_of(rows: DataFrame, weights: dict[str | None, float] | None, block_rows: int) -> tuple[DataFrame, DataFrame]:
     """The sources and their blocks' windows, as tables that executors compute.
 
@@ -185,23 +116,24 @@ def slots_of(windows: DataFrame, slots: int, at_once: int = SLOTS) -> DataFrame:
     return spark.read.schema("_sid long, _block long, slot long").parquet(path)
 
 
-def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, source: str = "source", key: str = "doc_id", whole: bool = False) -> DataFrame:
+def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: int = BLOCK_ROWS, source: str = "source", key: str = "doc_id", tie: str | None = None, keep: str | None = None) -> DataFrame:
     """The place of every row of ``docs`` in the mixture; no row is left out or repeated.
 
     ``weights`` gives each source a positive weight; sources that it doesn't name weigh 1. Without it a source weighs the
     square root of its size. A null source is a source of its own, served after equals. A source's last block may be
-    shorter. Rows that repeat a key take neighbouring places; extra columns are ignored, and an empty table gives an empty
-    result. There may be any number of sources.
+    shorter. Rows that repeat a key take neighbouring places, in the order of the column ``tie``, by which rows without a
+    key are also placed; extra columns are ignored, and an empty table gives an empty result. There may be any number of
+    sources.
 
     Returns the key, source, block, slot and position (slot * block_rows + place in the block; unique but for gaps); with
-    ``whole`` also ``row``, all columns of the row that has this place.
+    ``keep`` also that column of the row that has this place.
     """
     if any(not 0 < w < float("inf") for w in (weights or {}).values()):
         raise ValueError("weights must be positive")
     name = F.when(F.col(source).isNull(), F.lit("n")).otherwise(F.concat(F.lit("="), F.col(source).cast("string")))
-    row = [F.struct(*docs.columns)] if whole else []
-    by = F.coalesce(F.col(key).cast("string"), *(F.xxhash64(x).cast("string") for x in row), F.lit(""))
-    rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), name.alias("_name"), unit_hash(by, SEED).alias("_u"), *(x.alias("_row") for x in row))
+    more = {"_tie": tie, "_keep": keep}
+    by = F.coalesce(F.col(key).cast("string"), *([F.col(tie).cast("string")] if tie else []), F.lit(""))
+    rows = docs.select(F.col(key).alias("_key"), F.col(source).alias("_source"), name.alias("_name"), unit_hash(by, SEED).alias("_u"), *[F.col(c).alias(n) for n, c in more.items() if c])
     sizes, windows = plan_of(rows.select("_name"), weights, block_rows)
     slots = slots_of(windows, sizes.agg(F.sum("_blocks")).first()[0] or 0)
     # number the rows of a source: stretches of its hash order are numbered apart, then shifted by the rows before them;
@@ -212,11 +144,36 @@ def mix(docs: DataFrame, weights: dict[str, float] | None = None, block_rows: in
     before = Window.partitionBy("_name").orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
     starts = placed.groupBy("_name", "_stretch").count().select("_name", "_stretch", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     starts = materialise(starts.join(sizes.select("_name", "_sid"), "_name"), "mix-starts")
-    ties = [F.xxhash64("_row")] if whole else []
-    inside = Window.partitionBy("_name", "_stretch").orderBy("_u", "_key", *ties)
-    numbered = placed.withColumn("_i", F.row_number().over(inside) - 1).join(starts, ["_name", "_stretch"])
+    inside = Window.partitionBy("_name", "_stretch").orderBy("_u", "_key", *(["_tie"] if tie else []))
+    at = placed.withColumn("_i", F.row_number().over(inside) - 1).join(starts, ["_name", "_stretch"])
     rank = F.col("_start") + F.col("_i")
-    out = numbered.withColumn("_block", F.floor(rank / block_rows)).withColumn("_place", rank % block_rows).join(slots, ["_sid", "_block"])
-    return out.select(
-        F.col("_key").alias(key), F.col("_source").alias(source), F.col("_block").alias("block"), "slot", (F.col("slot") * block_rows + F.col("_place")).alias("position"), *([F.col("_row").alias("row")] if whole else [])
-    )
+    out = at.withColumn("_block", F.floor(rank / block_rows)).withColumn("_place", rank % block_rows).join(slots, ["_sid", "_block"])
+    position = (F.col("slot") * block_rows + F.col("_place")).alias("position")
+    return out.select(F.col("_key").alias(key), F.col("_source").alias(source), F.col("_block").alias("block"), "slot", position, *([F.col("_keep").alias(keep)] if keep else []))
+
+
+def _rows_and_places(docs: DataFrame, weights: dict[str, float] | None, tag: str) -> tuple[DataFrame, DataFrame]:
+    """(number, row) and (number, place), both written. Places are found from numbers, ids, sources and hashes alone."""
+    rows = numbered(docs, tag)
+    ids = rows.select("number", F.col("row.doc_id").alias("doc_id"), F.col("row.source").alias("source"), F.xxhash64(F.to_json("row")).alias("tie"))
+    places = mix(ids, weights, tie="tie", keep="number").select("number", F.struct("source", "block", "slot", "position").alias("place"))
+    return rows, materialise(places, f"{tag}-places")
+
+
+def placed_rows(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """(row, place): every row of ``docs`` as a struct, with its source, block, slot and position in the mixture.
+
+    ``docs`` has doc_id and source and any other columns, whatever their names. Rows that share the id are placed by a hash
+    of the row; rows equal in all columns are alike.
+    """
+    rows, places = _rows_and_places(docs, weights, "mix-rows")
+    return rows.join(places, "number").select("row", "place")
+
+
+def in_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+    """The rows of ``docs``, all their columns, in the order of the mixture: from the first partition to the last."""
+    rows, places = _rows_and_places(docs, weights, "mix-order")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    end = (places.agg(F.max("place.position")).first()[0] or 0) + 1
+    part = F.floor(F.col("place.position") * parts / end).cast("int")
+    return rows.join(places, "number").repartitionById(parts, part).sortWithinPartitions("place.position").select("row.*")

@@ -1,15 +1,18 @@
 """Near duplicates: a Jaccard join on word shingles by signature trees.
 
-Every text becomes the set of its distinct five-word shingles. Equal sets form one node. The top of the tree is a split by
-token: by the prefix filter, two sets that reach the similarity share a token among the first few of each in any common
-order, so a node goes to the groups of these tokens; tokens that a sample finds in many texts come last in that order.
-
-1. In each group the nodes are paired with its first one only, and so are those of a common minimum hash; then with the
+Every text becomes the set of its distinct five-word shingles, named by a hash. Equal sets form one node.
+
+1. Nodes that can link with nothing are left out. Of each set the tokens of an extended prefix (2p - 1 tokens in the order
+   of their hashes, p the size of the plain prefix) are counted over all sets: a linked set shares p of them at least.
+   Only the other nodes' whole sets are kept, once.
+2. The top of the tree is a split by token: two sets that reach the similarity share a token among the first p of each in
+   any common order, so a node goes to the groups of these tokens, frequent tokens last. Groups of equal members are one.
+3. In each group the nodes are paired with its first one only, and so are those of a common minimum hash; then with the
    group's most central one. These pairs are verified, and give components.
-2. Groups that still hold more than one component get a signature tree: its nodes hold the OR of their members' token
+4. Groups that still hold more than one component get a signature tree: its nodes hold the OR of their members' token
    bitmaps and their size range, and a dual traversal drops pairs of tree nodes by the largest overlap possible, and those
    within one component. Large groups are split into blocks, each pair of blocks a tree join of its own.
-3. What remains is verified on the whole sets, and the components are joined up.
+5. What remains is verified on the whole sets, and the components are joined up.
 
 No link between different components is lost; links within one are not all looked at, as they can't change a component.
 """
@@ -21,26 +24,31 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import bounded_sample, discard, materialise, maybe_in, release, slices
-from .components import connected_components
+from .common import discard, materialise, maybe_in, numbered, release, slices, without
+from .components import connected_components, joined_up
 
 WORDS = 5
 #: Links: LEAST_SHARED * |union| <= 100 * |intersection|.
 LEAST_SHARED = 80
 #: Bits of a token bitmap.
 BITS = 2048
-#: Texts that the sample of frequent tokens reads at most, tokens that it keeps at most, and texts that each is in.
-SAMPLE, FREQUENT, IN_TEXTS = 30_000, 200_000, 3
+#: Tokens that come last in the common order: as many at most, each in so many sets at least. They only order prefixes; no
+#: result depends on them.
+FREQUENT, IN_SETS = 200_000, 3
 #: Minima of so many hashes bring most near copies to a common first node; they save looks, and no result depends on them.
 SKETCH = 4
-#: Rows of one token that a task holds before it hands them on.
-LONGEST_RUN = 1 << 20
+#: Rows of one token that a task holds before it hands them on, and tokens that it counts before it hands them on.
+LONGEST_RUN, HELD = 1 << 20, 1 << 21
+#: Sets with new names at most; all sets that share a 64-bit name with another one get new names.
+MOST_RENAMED = 100_000
 #: Members of a leaf, and children of a tree node.
 FANOUT = 8
 #: Members of a block.
 BLOCK = 512
+#: Bytes of text that are shingled at once, one longer text aside, and bytes whose arithmetic is done at once.
+TEXT_BYTES, CHUNK = 1 << 20, 1 << 18
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -53,24 +61,40 @@ _PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 def _mix(h: np.ndarray) -> np.ndarray:
     """Spread 64-bit values, one to one."""
     h = h ^ (h >> np.uint64(33))
-    h = h * np.uint64(0xFF51AFD7ED558CCD)
-    h = h ^ (h >> np.uint64(33))
-    h = h * np.uint64(0xC4CEB9FE1A85EC53)
-    return h ^ (h >> np.uint64(33))
+    h *= np.uint64(0xFF51AFD7ED558CCD)
+    h ^= h >> np.uint64(33)
+    h *= np.uint64(0xC4CEB9FE1A85EC53)
+    h ^= h >> np.uint64(33)
+    return h
 
 
 class Shingler:
     """Hashed shingles of many texts at once, on their bytes."""
 
     def __init__(self):
-        self.powers = self.inverse = np.ones(0, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) < n:
-            n = max(n, 1 << 20)
-            back = np.uint64(pow(int(_STEP), -1, 1 << 64))
-            self.powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n - 1, _STEP))), dtype=np.uint64)
-            self.inverse = np.cumprod(np.concatenate(([np.uint64(1)], np.full(n - 1, back))), dtype=np.uint64)
+        self.powers = np.ones(1, np.uint64)
+
+    def _words(self, data: np.ndarray, inside: np.ndarray, opens: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Hashes of the words that open at ``starts``, by pieces of about CHUNK bytes, or one longer word."""
+        out, n = np.empty(len(starts), np.uint64), 0
+        while n < len(starts):
+            upto = max(n + 1, int(np.searchsorted(starts, starts[n] + CHUNK)))
+            a, b = int(starts[n]), int(starts[upto]) if upto < len(starts) else len(data)
+            at = np.flatnonzero(inside[a:b])
+            first = np.flatnonzero(opens[a:b][at])
+            place = at - np.repeat(at[first], np.diff(np.append(first, len(at))))
+            longest = int(place.max()) + 1
+            powers = self.powers
+            if longest > len(powers):
+                powers = np.cumprod(np.concatenate(([np.uint64(1)], np.full(longest - 1, _STEP))), dtype=np.uint64)
+                if longest <= CHUNK:
+                    self.powers = powers
+            value = _LOWER[data[a:b][at]].astype(np.uint64)
+            value += np.uint64(1)
+            value *= powers[place]
+            out[n:upto] = np.add.reduceat(value, first)
+            n = upto
+        return _mix(out)
 
     def sets(self, texts: pa.Array) -> list[np.ndarray]:
         """For each text the sorted hashes of its distinct shingles; none for null and wordless texts."""
@@ -80,9 +104,6 @@ class Shingler:
         offsets = np.frombuffer(texts.buffers()[1], np.int64, len(texts) + 1, texts.offset * 8)
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
         offsets = offsets - offsets[0]
-        if not len(data):
-            return [np.zeros(0, np.uint64)] * len(texts)
-        self._grow(len(data) + 1)
         inside = ~_SPACE[data]
         opens = inside.copy()
         opens[1:] &= ~inside[:-1]
@@ -91,11 +112,8 @@ class Shingler:
         starts = np.flatnonzero(opens)
         if not len(starts):
             return [np.zeros(0, np.uint64)] * len(texts)
-        doc = np.searchsorted(offsets, starts, side="right") - 1
-        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.where(inside, (_LOWER[data].astype(np.uint64) + np.uint64(1)) * self.powers[: len(data)], np.uint64(0)), dtype=np.uint64)))
-        ends = np.concatenate((starts[1:], [len(data)]))  # white space adds nothing
-        words = _mix((sums[ends] - sums[starts]) * self.inverse[starts])
-        first = np.searchsorted(doc, np.arange(len(texts) + 1))
+        words = self._words(data, inside, opens, starts)
+        first = np.searchsorted(starts, offsets)
         n = len(words)
         if n >= WORDS:
             shingles = np.zeros(n - WORDS + 1, np.uint64)
@@ -118,11 +136,39 @@ def prefix_size(n: int) -> int:
     return n - -(-LEAST_SHARED * n // 100) + 1
 
 
+def extended_size(n: int) -> int:
+    """Tokens, the first in the order of hashes, of which two sets that link share as many as each one's plain prefix has.
+
+    With overlap t, the first 2p - 1 tokens of the set whose extended prefix ends first hold at most n - t that the other
+    lacks, and t >= n - p + 1: so p shared tokens, all of which the other's extended prefix reaches.
+    """
+    return 2 * prefix_size(n) - 1
+
+
+def least_shared(n: int) -> int:
+    """Tokens of the extended prefix that a set of n shares with any set that it links with.
+
+    The other set's prefix may end first. For n >= 32 it still shares prefix_size(n), as the other has n * 5 / 4 at most;
+    below, as many as the plain prefix of the smallest set that can link.
+    """
+    return prefix_size(n if n >= 32 else -(-LEAST_SHARED * n // 100))
+
+
+def _least_shared(n: Column) -> Column:
+    least = F.when(n >= 32, n).otherwise(F.ceil(n * LEAST_SHARED / 100))
+    return least - F.ceil(least * LEAST_SHARED / 100) + 1
+
+
 def _name(tokens: np.ndarray) -> int:
     """A set's name; 0 for the empty one."""
     return int(_mix(tokens * _PLACES[0]).sum(dtype=np.uint64).astype(np.int64)) if len(tokens) else 0
 
 
+def _check(tokens: np.ndarray) -> int:
+    """A second name, by another hash."""
+    return int(_mix(tokens ^ _PLACES[1]).sum(dtype=np.uint64).astype(np.int64)) if len(tokens) else 0
+
+
 def bitmap(tokens: np.ndarray) -> np.ndarray:
     """BITS bits, one set for each token, as 64-bit words."""
     bits = np.zeros(BITS, bool)
@@ -130,78 +176,183 @@ def bitmap(tokens: np.ndarray) -> np.ndarray:
     return np.packbits(bits).view(np.uint64)
 
 
-def frequent_tokens(docs: DataFrame) -> np.ndarray:
-    """Tokens that many sampled texts share, the rarest first. They only order prefixes; no result depends on them."""
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def named_sets(docs: DataFrame) -> DataFrame:
+    """Of each text: doc_id, size and name (node, check) of its set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for piece in slices(batches, "text", TEXT_BYTES):
+            sets = shingler.sets(piece.column(1))
+            columns = [pa.array([f(x) for x in sets], pa.int64()) for f in (len, _name, _check)]
+            yield pa.RecordBatch.from_arrays([piece.column(0), *columns], ["doc_id", "n", "node", "check"])
+
+    return _texts(docs).mapInArrow(run, "doc_id long, n long, node long, check long")
+
+
+def renamed_sets(sets: DataFrame) -> dict[tuple[int, int], int]:
+    """New names for the sets that share a 64-bit name with another set, all but one of each name. With 10 ** 10 sets a
+    handful is expected; as the result goes to every task, more than MOST_RENAMED names raise an error."""
+    names = sets.filter("n > 0").groupBy("node").agg(F.min("check").alias("lo"), F.max("check").alias("hi")).filter("lo <> hi").select("node")
+    names = names.limit(MOST_RENAMED + 1).collect()
+    if not names:
+        return {}
+    if len(names) > MOST_RENAMED:
+        raise RuntimeError("too many shingle sets share a 64-bit name")
+    names = sets.sparkSession.createDataFrame(names, "node long")
+    rows = sets.filter("n > 0").join(F.broadcast(names), "node").select("node", "check").distinct().orderBy("node", "check").collect()
+    found: dict[tuple[int, int], int] = {}
+    for before, row in zip(rows, rows[1:], strict=False):
+        if before[0] == row[0]:
+            found[row[0], row[1]] = int(_mix(np.array([row[0] ^ row[1]], np.int64).view(np.uint64)).view(np.int64)[0])
+    return found
+
+
+def token_marks(docs: DataFrame, renamed: dict[tuple[int, int], int]) -> DataFrame:
+    """(token, node, info) of the tokens of extended prefixes. A token that several sets of a task's piece hold is counted for
+    them at once, so that however frequent it is, a piece has one row of it. ``info``: the task, with so many counted tokens
+    of the node times 2 ** 32; or -1 for a token that several sets hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler, seen, part = Shingler(), set(), TaskContext.get().partitionId()
+        tokens, nodes, size = [], [], 0
+
+        def counted() -> pa.RecordBatch:
+            t, v = np.concatenate(tokens), np.repeat(np.array(nodes, np.int64), list(map(len, tokens)))
+            order = np.argsort(t, kind="stable")
+            t, v = t[order], v[order]
+            at = np.flatnonzero(np.concatenate(([True], t[1:] != t[:-1])))
+            many = np.diff(np.append(at, len(t))) > 1
+            info = np.where(many, -1, part)
+            held, n = np.unique(v[np.repeat(many, np.diff(np.append(at, len(t))))], return_counts=True)
+            columns = np.concatenate((t[at].view(np.int64), held)), np.concatenate((v[at], held)), np.concatenate((info, part + (n.astype(np.int64) << 32)))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["token", "node", "info"])
+
+        for piece in slices(batches, "text", TEXT_BYTES):
+            for whole in shingler.sets(piece.column(1)):
+                node = _name(whole)
+                if renamed and (node, _check(whole)) in renamed:
+                    node = renamed[node, _check(whole)]
+                if not len(whole) or node in seen:
+                    continue
+                seen.add(node)
+                tokens.append(whole[: extended_size(len(whole))].copy())
+                nodes.append(node)
+                size += len(tokens[-1])
+            if size > HELD:
+                yield counted()
+                tokens, nodes, size = [], [], 0
+        if tokens:
+            yield counted()
+
+    return _texts(docs).mapInArrow(run, "token long, node long, info long")
+
+
+def shared_counts(marks: DataFrame) -> DataFrame:
+    """(node, part, n_shared): how many tokens of its extended prefix, as a task read it, a node shares with another node."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settled(tokens: np.ndarray, nodes: np.ndarray, info: np.ndarray) -> pa.RecordBatch:
+            at = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
+            shared = (np.minimum.reduceat(nodes, at) != np.maximum.reduceat(nodes, at)) | (np.minimum.reduceat(info, at) < 0)
+            shared = np.repeat(shared, np.diff(np.append(at, len(tokens)))) & (info >= 0)
+            n = info >> 32
+            keep = shared | (n > 0)
+            node, part, n = nodes[keep], info[keep] & 0xFFFFFFFF, np.maximum(n[keep], 1)
+            order = np.lexsort((part, node))
+            node, part, n = node[order], part[order], n[order]
+            first = np.flatnonzero(np.concatenate((np.ones(min(1, len(node)), bool), (node[1:] != node[:-1]) | (part[1:] != part[:-1]))))
+            total = np.add.reduceat(n, first) if len(first) else n
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in (node[first], part[first], total)], ["node", "part", "n"])
+
+        carried = [np.zeros(0, np.int64)] * 3
+        for batch in batches:
+            rows = [np.concatenate((c, np.asarray(x))) for c, x in zip(carried, batch.columns, strict=True)]
+            cut = int(np.searchsorted(rows[0], rows[0][-1])) if len(rows[0]) else 0  # the last token may go on
+            carried = [x[cut:] for x in rows]
+            if cut:
+                yield settled(*(x[:cut] for x in rows))
+        if len(carried[0]):
+            yield settled(*carried)
+
+    dealt = marks.repartition("token").sortWithinPartitions("token")
+    return dealt.mapInArrow(run, "node long, part long, n long").groupBy("node", "part").agg(F.sum("n").alias("n_shared"))
+
+
+def whole_sets(docs: DataFrame, needed: DataFrame, renamed: dict[tuple[int, int], int]) -> DataFrame:
+    """(node, n, tokens) of the needed nodes (node, class_id), made from the text of the class's first document."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shingler = Shingler()
+        for piece in slices(batches, "text", TEXT_BYTES):
+            sets = shingler.sets(piece.column(1))
+            names = [_name(x) for x in sets]
+            if renamed:
+                names = [renamed.get((k, _check(x)), k) for k, x in zip(names, sets, strict=True)]
+            columns = [piece.column(0), pa.array(names, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "node", "n", "tokens"])
+
+    rows = maybe_in(_texts(docs), needed.select(F.col("class_id").alias("doc_id")), "doc_id")
+    made = rows.mapInArrow(run, "doc_id long, node long, n long, tokens binary").join(needed, "node").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    return made.dropDuplicates(["node"]).select("node", "n", "tokens")
+
+
+def frequent_tokens(whole: DataFrame) -> np.ndarray:
+    """The tokens that most sets hold in their extended prefixes, by exact counts, the rarest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, held, size = Shingler(), [], 0
+        held, size = [], 0
 
         def counted() -> pa.RecordBatch:
-            tokens, n = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(tokens[n > 1].view(np.int64)), pa.array(n[n > 1])], ["token", "n"])
+            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array(tokens.view(np.int64)), pa.array(n)], ["token", "n"])
 
-        for piece in slices(batches, "text"):
-            held += shingler.sets(piece.column(0))
-            size = sum(map(len, held))
-            if size > 2_000_000:
+        for batch in batches:
+            for x in batch.column(0):
+                tokens = np.frombuffer(x.as_buffer(), np.uint64)
+                held.append(tokens[: extended_size(len(tokens))].copy())
+                size += len(held[-1])
+            if size > HELD:
                 yield counted()
-                held = []
-        yield counted()
+                held, size = [], 0
+        if held:
+            yield counted()
 
-    rows = bounded_sample(docs, F.col("doc_id"), SAMPLE, 5).select("text")
-    found = rows.mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= IN_TEXTS)
+    found = whole.select("tokens").mapInArrow(run, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(F.col("n") >= IN_SETS)
     top = found.orderBy(F.desc("n"), "token").limit(FREQUENT).collect()
     return np.array([r[0] for r in reversed(top)], np.int64).view(np.uint64)
 
 
-def shingle_sets(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """Of each text: size and 128-bit name (node, check) of its set. The first text of a task with a set also carries
-    its bitmap and its prefix in the common order; ``part`` is the task, else null. Whole sets aren't kept: those that
-    are needed are made again."""
+def signatures_of(whole: DataFrame, frequent: np.ndarray) -> DataFrame:
+    """Of each set: node, size, bitmap, prefix in the common order (rare tokens by hash, then the frequent ones) and sketch."""
     by_value = np.argsort(frequent)
     known, rank = frequent[by_value], by_value
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, seen, part = Shingler(), set(), TaskContext.get().partitionId()
-        for piece in slices(batches, "text"):
-            ids = piece.column(0).to_pylist()
-            sizes, nodes, checks, parts, maps, prefixes, sketches = [], [], [], [], [], [], []
-            for tokens in shingler.sets(piece.column(1)):
-                n = len(tokens)
-                node = _name(tokens)
-                check = int(_mix(tokens ^ _PLACES[1]).sum(dtype=np.uint64).astype(np.int64)) if n else 0
-                sizes.append(n)
-                nodes.append(node)
-                checks.append(check)
-                if not n or (node, check) in seen:
-                    parts.append(None), maps.append(None), prefixes.append(None), sketches.append(None)
-                    continue
-                seen.add((node, check))
+        for batch in batches:
+            maps, prefixes, sketches = [], [], []
+            for x in batch.column(2):
+                tokens = np.frombuffer(x.as_buffer(), np.uint64)
+                maps.append(bitmap(tokens).tobytes())
                 sketches.append([int(_mix(tokens ^ _PLACES[i]).min().astype(np.int64)) for i in range(SKETCH)])
                 if len(known):
                     at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
                     often = known[at] == tokens
                     if often.any():
-                        late = tokens[often][np.argsort(rank[at[often]], kind="stable")]
-                        tokens = np.concatenate((tokens[~often], late))
-                p = prefix_size(n)
-                parts.append(part)
-                maps.append(bitmap(tokens).tobytes())
-                prefixes.append(tokens[:p].view(np.int64))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()),
-                    pa.array(parts, pa.int32()), pa.array(maps, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "n", "node", "check", "part", "bitmap", "prefix", "sketch"],
-            )
+                        tokens = np.concatenate((tokens[~often], tokens[often][np.argsort(rank[at[often]], kind="stable")]))
+                prefixes.append(tokens[: prefix_size(len(tokens))].view(np.int64))
+            columns = [batch.column(0), batch.column(1), pa.array(maps, pa.binary()), pa.array(prefixes, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["node", "n", "bitmap", "prefix", "sketch"])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n long, node long, check long, part int, bitmap binary, prefix array<long>, sketch array<long>")
+    return whole.select("node", "n", "tokens").mapInArrow(run, "node long, n long, bitmap binary, prefix array<long>, sketch array<long>")
 
 
 def token_groups(sets: DataFrame, column: str = "prefix") -> DataFrame:
-    """(token, node, first) for the tokens in an array column that more than one node has; ``first`` is the group's first node.
+    """(token, node, first, times) of the groups of nodes with a common token in an array column; ``first`` is the group's
+    first node. Of groups with the same nodes one is kept, ``times`` says of how many.
 
     Rows are dealt out by ranges of (token, node), so that a frequent token spreads over tasks. Each such part of a group
     has a first node of its own; its runs at a task's ends are kept even if they are single.
@@ -218,16 +369,21 @@ def token_groups(sets: DataFrame, column: str = "prefix") -> DataFrame:
             tokens, nodes = tokens[new], nodes[new]
             at = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
             size = np.diff(np.concatenate((at, [len(tokens)])))
-            keep = size > 1
+            part = np.zeros(len(at), bool)
             if fresh:
-                keep[0], fresh = True, False
+                part[0], fresh = True, False
             if tokens[0] == going_on:  # the rest of a run whose other nodes were handed on
-                keep[0] = True
+                part[0] = True
             if last:
-                keep[-1] = True
+                part[-1] = True
+            keep = (size > 1) | part
             firsts = nodes[at].copy()
+            spread = nodes.view(np.uint64)
+            names = [np.add.reduceat(_mix(x), at).view(np.int64) for x in (spread * _PLACES[2], spread ^ _PLACES[3])]
+            names[0] = np.where(part, tokens[at], names[0])  # such a run is named by its token: it is but a part
             chosen = np.repeat(keep, size)
-            return pa.RecordBatch.from_arrays([pa.array(tokens[chosen]), pa.array(nodes[chosen]), pa.array(np.repeat(firsts, size)[chosen])], ["token", "node", "first"])
+            columns = [tokens, nodes, *(np.repeat(x, size) for x in (firsts, *names, np.where(part, -1, size)))]
+            return pa.RecordBatch.from_arrays([pa.array(c[chosen]) for c in columns], ["token", "node", "first", "name", "name2", "size"])
 
         for batch in batches:
             tokens = np.concatenate((carried_t, np.asarray(batch.column(0))))
@@ -246,8 +402,14 @@ def token_groups(sets: DataFrame, column: str = "prefix") -> DataFrame:
         if len(carried_t):
             yield rows(carried_t, carried_n, True)
 
-    spread = sets.filter("part is not null").select(F.explode(column).alias("token"), "node")
-    return spread.repartitionByRange("token", "node").sortWithinPartitions("token", "node").mapInArrow(run, "token long, node long, first long")
+    spread = sets.select(F.explode(column).alias("token"), "node")
+    found = spread.repartitionByRange("token", "node").sortWithinPartitions("token", "node")
+    found = materialise(found.mapInArrow(run, "token long, node long, first long, name long, name2 long, size long"), "sig-runs")
+    kept = found.filter("node = first").groupBy("name", "name2", "size").agg(F.min(F.struct("token", "first")).alias("kept"), F.count(F.lit(1)).alias("times"))
+    kept = materialise(kept.select("kept.token", "kept.first", "times"), "sig-kept")
+    groups = materialise(found.select("token", "node", "first").join(kept, ["token", "first"]).select("token", "node", "first", "times"), f"sig-groups-{column}")
+    discard(found, kept)
+    return groups
 
 
 def _overlap_bound(x: np.ndarray, y: np.ndarray, more_x: np.ndarray, more_y: np.ndarray) -> np.ndarray:
@@ -305,13 +467,13 @@ def tree_join(a: SignatureTree, b: SignatureTree | None = None) -> tuple[np.ndar
 def tree_pairs(members: DataFrame) -> DataFrame:
     """Candidate pairs (a, b) of different components within groups, and ``shared``, the groups that both are in.
 
-    ``members``: token, node, comp, n, bitmap. Groups of more than BLOCK members are split into blocks by a hash; every
+    ``members``: token, times, node, comp, n, bitmap. Groups of more than BLOCK members are split into blocks by a hash; every
     pair of blocks is joined by itself.
     """
     sizes = materialise(members.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks")), "sig-sizes")
     dealt = members.join(sizes, "token").withColumn("own", F.pmod(F.xxhash64("node", "token"), F.col("blocks")).cast("int"))
     others = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least("own", o).alias("i"), F.greatest("own", o).alias("j")))
-    dealt = dealt.withColumn("cell", F.explode(others)).select("token", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "own", "node", "comp", "n", "bitmap")
+    dealt = dealt.withColumn("cell", F.explode(others)).select("token", F.col("cell.i").alias("i"), F.col("cell.j").alias("j"), "own", "node", "comp", "n", "bitmap", "times")
 
     def join(rows: list[tuple]) -> tuple[list[int], list[int]]:
         parts = []
@@ -330,28 +492,31 @@ def tree_pairs(members: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
-        left, right = [], []
+        left, right, times = [], [], []
+
+        def add() -> None:
+            a, b = join(held)
+            left.extend(a), right.extend(b), times.extend([held[0][8]] * len(a))
+
+        def out() -> pa.RecordBatch:
+            a, b = np.array(left, np.int64), np.array(right, np.int64)
+            pairs, at = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0, return_inverse=True)
+            n = np.bincount(at.ravel(), np.array(times, np.float64), len(pairs)).astype(np.int64)
+            left.clear(), right.clear(), times.clear()
+            return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n)], ["a", "b", "shared"])
+
         for batch in batches:
             for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if held and held[0][:3] != r[:3]:
-                    a, b = join(held)
-                    left += a
-                    right += b
+                    add()
                     held = []
                 held.append(r)
             if len(left) > 50_000:
-                yield out(left, right)
-                left, right = [], []
+                yield out()
         if held:
-            a, b = join(held)
-            left += a
-            right += b
-        yield out(left, right)
-
-    def out(left: list[int], right: list[int]) -> pa.RecordBatch:
-        a, b = np.array(left, np.int64), np.array(right, np.int64)
-        pairs, n = np.unique(np.column_stack((np.minimum(a, b), np.maximum(a, b))), axis=0, return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1]), pa.array(n)], ["a", "b", "shared"])
+            add()
+        if left:
+            yield out()
 
     cells = dealt.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     found = cells.mapInArrow(run, "a long, b long, shared long")
@@ -388,104 +553,34 @@ def _bounded(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def _order_keys(tokens: np.ndarray, known: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """Numbers that sort tokens in the common order: rare ones by hash, then the frequent ones by rank."""
-    keys = tokens >> np.uint64(1)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-        often = known[at] == tokens
-        keys[often] = np.uint64(1 << 63) + rank[at[often]].astype(np.uint64)
-    return keys
-
-
-def prefix_allows(x: np.ndarray, y: np.ndarray, n_x: int, n_y: int, keys_x: np.ndarray, keys_y: np.ndarray) -> bool:
-    """Whether two sets can link, by their prefixes: up to the end of the one that ends first, all their tokens are known,
-    and beyond it they share as many as the smaller rest has at most."""
-    edge = min(keys_x[-1], keys_y[-1])
-    seen_x, seen_y = int(np.searchsorted(keys_x, edge, side="right")), int(np.searchsorted(keys_y, edge, side="right"))
-    most = len(np.intersect1d(x[:seen_x], y[:seen_y], assume_unique=True)) + min(n_x - seen_x, n_y - seen_y)
-    return (100 + LEAST_SHARED) * most >= LEAST_SHARED * (n_x + n_y)
-
-
-def _prefixed(pairs: DataFrame, sets: DataFrame, signatures: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """The pairs whose prefixes allow a link; these are a fifth of the sets, and rule out what shares a passage only."""
-    by_value = np.argsort(frequent)
-    known, rank = frequent[by_value], by_value
-    needed = materialise(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(signatures.select("node", "part", "n"), "node"), "sig-prefixed")
-    rows = maybe_in(sets.filter("part is not null").select("node", "part", "prefix"), needed, "node").join(needed, ["node", "part"])
-    rows = materialise(rows.select("node", "n", "prefix"), "sig-prefixes", "lz4")
-    left, right = (rows.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("prefix").alias(f"p_{k}")) for k in "ab")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, n_a, n_b = (np.asarray(batch.column(batch.schema.get_field_index(c))) for c in ("a", "b", "n_a", "n_b"))
-            p_a, p_b = (batch.column(batch.schema.get_field_index(c)) for c in ("p_a", "p_b"))
-            keep = np.zeros(len(a), bool)
-            for k in range(len(a)):
-                x, y = (np.asarray(p[k].values, dtype=np.int64).view(np.uint64) for p in (p_a, p_b))
-                keep[k] = prefix_allows(x, y, int(n_a[k]), int(n_b[k]), _order_keys(x, known, rank), _order_keys(y, known, rank))
-            yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
-
-    out = materialise(pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long"), "sig-allowed")
-    discard(needed, rows)
-    return out
-
-
-def whole_sets(docs: DataFrame, needed: DataFrame) -> DataFrame:
-    """(node, tokens) of the needed nodes (node, class_id), made from the text of the class's first document.
-
-    Other texts are dropped by a bitmap over ids before they are read into sets, and none of them is shuffled.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
-        for piece in slices(batches, "text"):
-            sets = shingler.sets(piece.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [piece.column(0), pa.array([_name(x) for x in sets], pa.int64()), pa.array([x.tobytes() for x in sets], pa.binary())], ["doc_id", "node", "tokens"]
-            )
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    rows = maybe_in(rows, needed.select(F.col("class_id").alias("doc_id")), "doc_id")
-    made = rows.mapInArrow(run, "doc_id long, node long, tokens binary").join(needed, "node").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
-    return made.dropDuplicates(["node"]).select("node", "tokens")
-
-
-def verified(pairs: DataFrame, signatures: DataFrame, classes: DataFrame, sets: DataFrame, docs: DataFrame, frequent: np.ndarray) -> DataFrame:
-    """The pairs that link, by their whole sets, written. Only the sets of pairs that pass the bitmaps, then the prefixes,
-    are moved."""
+def verified(pairs: DataFrame, signatures: DataFrame, whole: DataFrame) -> DataFrame:
+    """The pairs that link, by their whole sets, written. Only the sets of pairs that pass the bitmaps are moved."""
     near = materialise(_bounded(pairs, signatures), "sig-near")
-    close = _prefixed(near, sets, signatures, frequent)
-    needed = materialise(close.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes.select("node", "class_id"), "node"), "sig-needed")
-    whole = materialise(whole_sets(docs, needed), "sig-whole", "lz4")
-    release(docs.sparkSession)
     left, right = (whole.select(F.col("node").alias(k), F.col("tokens").alias(f"t_{k}")) for k in "ab")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
-            ids_a, ids_b, sets_a, sets_b = (batch.column(batch.schema.get_field_index(c)) for c in ("a", "b", "t_a", "t_b"))
+            keep = np.zeros(batch.num_rows, bool)
+            sets_a, sets_b = (batch.column(batch.schema.get_field_index(c)) for c in ("t_a", "t_b"))
             for k in range(batch.num_rows):
-                x, y = np.frombuffer(sets_a[k].as_py(), np.uint64), np.frombuffer(sets_b[k].as_py(), np.uint64)
-                shared = len(np.intersect1d(x, y, assume_unique=True))
-                if 100 * shared >= LEAST_SHARED * (len(x) + len(y) - shared):
-                    a.append(ids_a[k].as_py())
-                    b.append(ids_b[k].as_py())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-    links = materialise(close.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long"), "sig-links")
-    discard(near, close, needed, whole)
+                x, y = (np.frombuffer(c[k].as_buffer(), np.uint64) for c in (sets_a, sets_b))
+                shared = len(x) + len(y) - len(np.unique(np.concatenate((x, y))))
+                keep[k] = 100 * shared >= LEAST_SHARED * (len(x) + len(y) - shared)
+            yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(c)).filter(pa.array(keep)) for c in "ab"], ["a", "b"])
+
+    links = materialise(near.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long"), "sig-links")
+    discard(near)
     return links
 
 
 def _labelled(groups: DataFrame, comps: DataFrame) -> DataFrame:
     """The groups' rows with their components, written."""
-    return materialise(groups.join(comps, "node", "left").select("token", "node", "first", F.coalesce("comp", "node").alias("comp")), "sig-labelled")
+    return materialise(groups.join(comps, "node", "left").select("token", "node", "first", "times", F.coalesce("comp", "node").alias("comp")), "sig-labelled")
 
 
 def _centres(labelled: DataFrame, signatures: DataFrame) -> DataFrame:
     """(token, centre, centre_comp) for groups of several components."""
-    company = labelled.groupBy("node").agg(F.count(F.lit(1)).alias("company"))
+    company = labelled.groupBy("node").agg(F.sum("times").alias("company"))
     prefix = F.col("n") - F.ceil(F.col("n") * LEAST_SHARED / 100) + 1
     share = materialise(company.join(signatures.select("node", "n"), "node").select("node", (F.col("company") / prefix).alias("share")), "sig-share")
     best = F.max(F.struct("share", "node", "comp"))
@@ -505,19 +600,25 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     Returns doc_id, n_shingles, component_id (the smallest doc_id reachable by links) and class_id (the smallest doc_id
     of the same set).
     """
-    frequent = frequent_tokens(docs)
-    sets = materialise(shingle_sets(docs, frequent), "sig-sets", "lz4")
-    names = sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.min("part").alias("part"), F.min("check").alias("c0"), F.max("check").alias("c1"))
-    classes = materialise(names, "sig-classes")
-    if not classes.filter("c0 <> c1").isEmpty():
-        raise RuntimeError("two shingle sets share a 64-bit name; choose other constants")
-    signatures = materialise(sets.filter("part is not null").select("node", "part", "n", "bitmap").join(classes.select("node", "part"), ["node", "part"]), "sig-signatures", "lz4")
-
-    groups = materialise(token_groups(sets), "sig-groups")
+    sets = materialise(named_sets(docs), "sig-sets")
+    renamed = renamed_sets(sets)
+    if renamed:
+        names = docs.sparkSession.createDataFrame([(*k, v) for k, v in renamed.items()], "node long, check long, new long")
+        sets = materialise(sets.join(F.broadcast(names), ["node", "check"], "left").withColumn("node", F.coalesce("new", "node")).drop("new"), "sig-sets")
+    classes = materialise(sets.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("class_id"), F.first("n").alias("n")), "sig-classes")
+
+    # the nodes that may link: a node that shares too little with all others is its own component
+    counts = materialise(shared_counts(token_marks(docs, renamed)).join(classes, "node").filter(F.col("n_shared") >= _least_shared(F.col("n"))), "sig-counts")
     release(docs.sparkSession)
-    sketched = token_groups(sets, "sketch")
+    needed = materialise(counts.select("node", "class_id").distinct(), "sig-needed")
+    whole = materialise(whole_sets(docs, needed, renamed), "sig-whole", "lz4")
+    discard(counts, needed)
+    signatures = materialise(signatures_of(whole, frequent_tokens(whole)), "sig-signatures", "lz4")
+
+    groups = token_groups(signatures)
+    sketched = token_groups(signatures, "sketch")
     stars = groups.unionByName(sketched).filter("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
-    links = verified(stars, signatures, classes, sets, docs, frequent)
+    links = verified(stars, signatures, whole)
     comps = materialise(connected_components(links), "sig-comps")
 
     # a second star from each group's most central node, that with most of its prefix in company: edits leave tokens alone
@@ -525,29 +626,44 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     central = materialise(_centres(labelled, signatures), "sig-centres")
     again = labelled.join(central, "token").filter("comp <> centre_comp")
     again = again.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    links = materialise(links.unionByName(verified(again, signatures, classes, sets, docs, frequent)), "sig-linked")
+    comps = joined_up(comps, verified(again, signatures, whole))
     discard(labelled, central)
-    comps = materialise(connected_components(links), "sig-comps")
     labelled = _labelled(groups, comps)
     # a group of two in one part has had its one pair verified
     spans = labelled.groupBy("token").agg(
         F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("first").alias("f0"), F.max("first").alias("f1"), F.count(F.lit(1)).alias("size")
     )
     open_groups = materialise(spans.filter("lo <> hi and (size > 2 or f0 <> f1)").select("token"), "sig-open")
-    members = labelled.join(open_groups, "token").join(signatures.select("node", "n", "bitmap"), "node").select("token", "node", "comp", "n", "bitmap")
+    members = labelled.join(open_groups, "token").join(signatures.select("node", "n", "bitmap"), "node").select("token", "times", "node", "comp", "n", "bitmap")
     members = materialise(members, "sig-members")
     met = materialise(tree_pairs(members), "sig-met")
     pairs = materialise(_share_enough(met, signatures), "sig-pairs")
-    discard(members, labelled, groups, met)
-    more = verified(pairs, signatures, classes, sets, docs, frequent)
-    if not more.isEmpty():
-        comps = materialise(connected_components(links.unionByName(more)), "sig-comps")
+    discard(members, labelled, groups, sketched, met)
+    comps = joined_up(comps, verified(pairs, signatures, whole))
 
     named = materialise(classes.join(comps, "node", "left").select("node", "class_id", F.coalesce("comp", "node").alias("comp")), "sig-named")
     lowest = materialise(named.groupBy("comp").agg(F.min("class_id").alias("component_id")), "sig-lowest")
     final = materialise(named.join(lowest, "comp").select("node", "class_id", "component_id"), "sig-final")
     ids = materialise(sets.select("doc_id", "n", "node"), "sig-ids")
-    discard(sets, signatures, pairs)
+    discard(sets, signatures, whole, pairs)
     with_words = ids.filter("n > 0").join(final, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
     without = ids.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     return with_words.unionByName(without)
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay, all their columns, one for each component of near duplicates.
+
+    ``docs`` has doc_id and text and any other columns, whatever their names. The row of the smallest id stays; one without
+    an id only if the component has none, and of rows that share the id one, chosen by a hash of the row. Every row is
+    decided by itself: other rows of its id may stay. Texts are not shuffled but those of the rows that go.
+    """
+    rows = numbered(docs, "near-rows")
+    found = near_duplicates(rows.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")))
+    found = materialise(found.select(F.col("doc_id").alias("number"), "component_id"), "near-found")
+    groups = materialise(found.groupBy("component_id").count().filter(F.col("count") > 1).select("component_id"), "near-groups")
+    members = found.join(groups, "component_id").join(rows.select("number", F.col("row.doc_id").alias("id"), F.xxhash64(F.to_json("row")).alias("tie")), "number")
+    members = materialise(members, "near-members")
+    kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "tie", "number"))["number"].alias("number"))
+    dropped = materialise(members.select("number").join(kept.select("number"), "number", "left_anti"), "near-dropped")
+    return without(rows, dropped, "number").select("row.*")

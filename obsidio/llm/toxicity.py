@@ -43,8 +43,10 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """The lower-case words of all texts one after another, without punctuation around them, and each text's bounds."""
     lowered = pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
     split = pc.utf8_split_whitespace(lowered)
-    words = pc.utf8_trim(split.flatten(), characters=PUNCTUATION)
-    return words, np.asarray(split.offsets, dtype=np.int64) - split.offsets[0].as_py()
+    words, bounds = split.flatten(), np.asarray(split.offsets, dtype=np.int64) - split.offsets[0].as_py()
+    there = np.asarray(pc.binary_length(words)) > 0  # white space at a text's ends makes empty words
+    bounds = np.concatenate(([0], np.cumsum(there)))[bounds]
+    return pc.utf8_trim(words.filter(pa.array(there)), characters=PUNCTUATION), bounds
 
 
 @dataclass

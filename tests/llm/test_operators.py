@@ -194,6 +194,12 @@ def test_components(spark):
                 changed = True
     found = components.connected_components(spark.createDataFrame([*links, (None, 1)], "a long, b long"))
     assert {r.node: r.comp for r in found.collect()} == comp
+    assert components.connected_components(found.limit(0), "node", "comp").isEmpty()
+    half = common.materialise(components.connected_components(spark.createDataFrame(links[::2], "a long, b long")), "test-half")
+    for rest in (links, links[1::2]):
+        both = components.joined_up(half, spark.createDataFrame([x for x in rest if x[0] != x[1]], "a long, b long"))
+        assert {r.node: r.comp for r in both.collect()} == comp
+    assert components.joined_up(half, spark.createDataFrame(links[:1], "a long, b long")).count() == half.count()
 
 
 # BPE
@@ -298,27 +304,39 @@ def test_later_edits_of_stored_trees(spark):
 # mixing
 
 
-def test_schedule_stays_within_a_block():
+def plain_mixture(rows, weights, block_rows):
+    """(source, block) of every slot, by exact arithmetic: fluid times of blocks, then earliest deadline first."""
+    from fractions import Fraction
+
+    names = sorted({s for _, s in rows}, key=lambda s: "n" if s is None else f"={s}")
+    left = {s: -(-sum(x == s for _, x in rows) // block_rows) for s in names}
+    weight = {s: Fraction(weights.get(s, 1.0)) for s in names}
+    ends = {s: [(k + 1) / weight[s] for k in range(left[s])] for s in names}
+    last = {s: ends[s][-1] for s in names}
+
+    def slot_of(v):  # the fluid schedule has served so many blocks when every source is at v
+        return sum(min(v, last[s]) * weight[s] for s in names)
+
+    margin, windows = Fraction(1, 128), []
+    for i, s in enumerate(names):
+        for k, v in enumerate(ends[s]):
+            before = slot_of(ends[s][k - 1]) if k else Fraction(0)
+            windows.append(((before + margin).__floor__(), (slot_of(v) - margin).__ceil__(), i, k))
+    served = []
+    while windows:
+        ready = min((w for w in windows if w[0] <= len(served)), key=lambda w: (w[1], w[2], w[3]))
+        windows.remove(ready)
+        served.append((names[ready[2]], ready[3]))
+    return served
+
+
+def test_mix_matches_a_plain_schedule(spark):
     rnd = random.Random(3)
-    for _ in range(20):
-        blocks = {f"s{i}": rnd.randint(1, 200) for i in range(rnd.randint(1, 6))}
-        weights = {s: rnd.random() + 0.01 for s in blocks}
-        slots = {}
-        for p in mixing.phases_of(blocks, weights, 100):
-            for s in p.first:
-                share = len(p.served[s])
-                for j in range(p.first[s], p.end[s]):
-                    k = j - p.first[s]
-                    at = p.slot + k // share * p.size + p.served[s][k % share]
-                    assert at not in slots
-                    slots[at] = s
-        assert sorted(slots) == list(range(sum(blocks.values()))) and collections.Counter(slots.values()) == blocks
-        for p, after in zip(ps := mixing.phases_of(blocks, weights, 100), [*ps[1:], None], strict=True):
-            end = after.slot if after else len(slots)
-            count = collections.Counter()
-            for t in range(p.slot, end):
-                count[slots[t]] += 1
-                assert all(abs(count[s] - (t - p.slot + 1) * len(p.served[s]) / p.size) < 1 for s in p.first)
+    for weights in ({"a": 3.0, "b": 1.0, None: 2.0}, {"a": 1.0, "b": 0.37, "c": 5.5, "d": 1 / 3}, {"a": 1e6, "b": 1.0}):
+        rows = [(i, rnd.choice([*weights, "z"])) for i in range(300)]
+        found = mixing.mix(spark.createDataFrame(rows, "doc_id long, source string"), weights, block_rows=4).collect()
+        slots = {r.slot: (r.source, r.block) for r in found}
+        assert [slots[k] for k in range(len(slots))] == plain_mixture(rows, weights, 4)
 
 
 def test_mix_keeps_every_row(spark, odd, empty):
@@ -537,14 +555,23 @@ def test_pipeline_matches_a_plain_version(spark, sf):
     assert {r.doc_id: r.ids_sha256 for r in corpus_pipeline.run(spark, sf).collect()} == want
 
 
+NAMES = "_sha _kept_id _kept_sha _id _position _row _doc row number place position slot block source_ _key _source _name _u _tie _keep _slot _bucket _bits component_id digest norm doc text_ rank tokens".split()
+
+
 def test_stages_take_odd_rows(spark, odd, sf):
+    """Nulls, empty and very long texts, ties, repeated rows and clashing names, and nothing at all, through all stages."""
     import corpus_pipeline
 
-    docs = odd
+    clashing = odd.withColumns({n: F.lit(f"own {n}") for n in NAMES})
+    docs, none = clashing, clashing.limit(0)
     for _, stage in corpus_pipeline.STAGES[:-1]:
-        docs = common.materialise(stage(spark, docs, sf), "test-stage")
-        assert docs.columns == odd.columns
-    assert docs.count() >= 3
+        docs, none = (common.materialise(stage(spark, x, sf), "test-stage") for x in (docs, none))
+        assert docs.columns == none.columns == clashing.columns
+        assert docs.filter(" or ".join(f"{n} is null or {n} <> 'own {n}'" for n in NAMES)).isEmpty() and none.isEmpty()
+    last = corpus_pipeline.STAGES[-1][1]
+    assert last(spark, none, sf).count() == 0
+    # the fox of the largest id, the one of LONG with the smallest, and the letters
+    assert sorted(r.doc_id for r in docs.collect()) == [5, 6, 8] == sorted(r.doc_id for r in last(spark, docs, sf).collect())
 
 
 def test_stages_decide_by_row(spark, sf):
