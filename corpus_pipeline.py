@@ -1,7 +1,8 @@
 """The training-data pipeline over ``documents``: each stage is a table that the next one reads.
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame. All but the last return
-the columns of ``documents``. ``run`` applies them in order.
+the columns of ``documents``, whatever their names. Every row is decided by itself, whatever its id: ids may be null or
+repeat. Empty tables give empty results. ``run`` applies the stages in order.
 """
 
 from __future__ import annotations
@@ -13,31 +14,24 @@ from obsidio.llm.common import materialise, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a letter stay, whatever the language. Every row is decided by its own text, whatever its id."""
+    """Documents with a letter stay, whatever the language; null, empty and letterless texts go."""
     rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
     return langid.identify(rows, langid.fit(docs), keep="row").filter("lettered").select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts one document stays."""
+    """Of equal texts one row stays: that of the largest id; a null id stays only where there is no other."""
     return exact_dedup.deduplicated(docs)
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates one row stays, that of the smallest id; one without an id only if none has one."""
-    # ids may be null or repeat, so rows have numbers of their own here
-    rows = materialise(docs.select(F.monotonically_increasing_id().alias("_row"), F.struct(*docs.columns).alias("_doc")), "near-rows")
-    found = neardup.near_duplicates(rows.select(F.col("_row").alias("doc_id"), F.col("_doc.text").alias("text")))
-    ids = rows.select("_row", F.col("_doc.doc_id").alias("_id"))
-    members = found.select(F.col("doc_id").alias("_row"), "component_id").join(ids, "_row")
-    kept = members.groupBy("component_id").agg(F.min(F.struct(F.col("_id").isNull().alias("_none"), "_id", "_row"))["_row"].alias("_row"))
-    return rows.join(kept, "_row", "left_semi").select("_doc.*")
+    """Of each group of near duplicates one row stays: that of the smallest id, one without an id only if none has one."""
+    return neardup.representatives(docs)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the mixture: read from the first file to the last, sources come by their weights."""
-    placed = mixing.mix(docs, whole=True).select("position", "row")
-    return placed.repartitionByRange("position").sortWithinPartitions("position").select("row.*")
+    return mixing.in_order(docs)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,8 +39,7 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Readers pack files as they like, so the order of rows tells nothing; the places are worked out again from the rows.
     """
-    placed = mixing.mix(docs, whole=True)
-    rows = placed.select("doc_id", F.col("row.text").alias("text"), F.struct("source", "block", "slot", "position").alias("place"))
+    rows = mixing.placed_rows(docs).select(F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"), "place")
     return bpe.encode_texts(rows, keep="place").select(
         "doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "place.*"
     )
