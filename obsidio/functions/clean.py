@@ -59,17 +59,17 @@ def clean_text(x: Column) -> Column:
     return blank_to_null(F.btrim(F.regexp_replace(out, "\\s+", " ")))
 
 
-def fold(x: Column) -> Column:
-    """Clean, lower case, umlauts spelt out, other accents dropped."""
-    out = F.lower(clean_text(x))
+def fold(x: Column, cleaned: bool = False) -> Column:
+    """Clean, lower case, umlauts spelt out, other accents dropped. ``cleaned`` texts aren't cleaned again."""
+    out = F.lower(x if cleaned else clean_text(x))
     for letter, spelt in UMLAUTS:
         out = F.replace(out, F.lit(letter), F.lit(spelt))
     return F.translate(out, "".join(_ACCENTED), _BASE)
 
 
-def name_key(x: Column) -> Column:
+def name_key(x: Column, cleaned: bool = False) -> Column:
     """What a business name is matched by: folded, letters and digits only, without legal forms and filler words."""
-    plain = F.regexp_replace(fold(x), "[^a-z0-9 ]", " ")
+    plain = F.regexp_replace(fold(x, cleaned), "[^a-z0-9 ]", " ")
     short = F.regexp_replace(plain, f"\\b({'|'.join(LEGAL_WORDS)})\\b", " ")
     return blank_to_null(F.btrim(F.regexp_replace(short, "\\s+", " ")))
 
@@ -81,6 +81,12 @@ def _groups(digits: Column, marks: str) -> tuple[Column, Column]:
     return groups, (F.size(groups) > 1) & F.length(groups[0]).between(1, 3) & F.forall(rest, lambda g: F.length(g) == 3)
 
 
+def brand_key(x: Column) -> Column:
+    """What chains are matched by: accents dropped, runs of anything but letters and digits as one space, lower case."""
+    plain = F.translate(nfc(x), "".join(_ACCENTED), _BASE)
+    return blank_to_null(F.btrim(F.lower(F.regexp_replace(plain, "[^a-zA-Z0-9]+", " "))))
+
+
 def parse_money(x: Column) -> Column:
     """German and English amounts as decimal(10,2); null for anything else.
 
@@ -181,12 +187,12 @@ def postcode(x: Column) -> Column:
 _NUMBER = "\\d+\\s*[a-zA-Z]?(?:\\s*[-/]\\s*\\d+\\s*[a-zA-Z]?)?"
 
 
-def street(x: Column) -> Column:
-    return blank_to_null(F.btrim(F.regexp_replace(clean_text(x), f"\\s+{_NUMBER}\\s*$", "")))
+def street(x: Column, cleaned: bool = False) -> Column:
+    return blank_to_null(F.btrim(F.regexp_replace(x if cleaned else clean_text(x), f"\\s+{_NUMBER}\\s*$", "")))
 
 
-def house_number(x: Column) -> Column:
-    return blank_to_null(F.btrim(F.regexp_extract(clean_text(x), f"\\s({_NUMBER})\\s*$", 1)))
+def house_number(x: Column, cleaned: bool = False) -> Column:
+    return blank_to_null(F.btrim(F.regexp_extract(x if cleaned else clean_text(x), f"\\s({_NUMBER})\\s*$", 1)))
 
 
 def street_key(x: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The GRS80 ellipsoid and the parameters of the European equal-area projection (EPSG:3035).
 _A, _F = 6378137.0, 1 / 298.257222101
@@ -54,3 +54,39 @@ def sun_time(day: Column, lat: Column, lon: Column, angle: float = -0.833, risin
     half = F.degrees(F.acos(cosine))
     noon = 720 - 4 * lon - shift
     return F.when(F.abs(cosine) <= 1, noon - 4 * half if rising else noon + 4 * half)
+
+
+def in_ring(lon: Column, lat: Column, ring: Column) -> Column:
+    """Whether a point lies in a closed ring, an array of (lon, lat) corners, its border included, by ray casting."""
+    corners = F.transform(F.sequence(F.lit(0), F.size(ring) - 1), lambda i: F.struct(F.get(ring, i).alias("p"), F.get(ring, (i + 1) % F.size(ring)).alias("q")))
+
+    def crosses(e: Column) -> Column:
+        x1, y1, x2, y2 = e["p"]["lon"], e["p"]["lat"], e["q"]["lon"], e["q"]["lat"]
+        spans = (lat >= F.least(y1, y2)) & (lat < F.greatest(y1, y2))
+        return spans & (lon < x1 + (lat - y1) * (x2 - x1) / F.when(y1 == y2, F.lit(1.0)).otherwise(y2 - y1))
+
+    def touches(e: Column) -> Column:
+        x1, y1, x2, y2 = e["p"]["lon"], e["p"]["lat"], e["q"]["lon"], e["q"]["lat"]
+        off = (lon - x1) * (y2 - y1) - (lat - y1) * (x2 - x1)
+        return (F.abs(off) < 1e-12) & lon.between(F.least(x1, x2), F.greatest(x1, x2)) & lat.between(F.least(y1, y2), F.greatest(y1, y2))
+
+    return F.exists(corners, touches) | (F.size(F.filter(corners, crosses)) % 2 == 1)
+
+
+def covering_areas(points: DataFrame, areas: DataFrame, cell: float = 0.05) -> DataFrame:
+    """(lat, lon, areas): for each distinct point a map of the areas that cover it, {kind: (code, name)}.
+
+    ``areas`` has kind, code, name and ring. Areas are spread over the cells of their bounding boxes, in degrees, and
+    points meet the areas of their cell. Of several areas of a kind that of the smallest code counts; a point that no area
+    covers has no row.
+    """
+    at = lambda c: F.floor(c / cell)
+    lats, lons = F.transform("ring", lambda p: p["lat"]), F.transform("ring", lambda p: p["lon"])
+    boxes = areas.filter(F.size("ring") > 0).select(
+        "kind", F.struct("code", "name").alias("area"), "ring", F.explode(F.sequence(at(F.array_min(lats)), at(F.array_max(lats)))).alias("_r"),
+        F.sequence(at(F.array_min(lons)), at(F.array_max(lons))).alias("_cs"),
+    )
+    boxes = boxes.withColumn("_c", F.explode("_cs")).drop("_cs")
+    there = points.select("lat", "lon").filter("lat is not null and lon is not null").distinct().withColumns({"_r": at(F.col("lat")), "_c": at(F.col("lon"))})
+    found = there.join(boxes, ["_r", "_c"]).filter(in_ring(F.col("lon"), F.col("lat"), F.col("ring"))).groupBy("lat", "lon", "kind").agg(F.min("area").alias("area"))
+    return found.groupBy("lat", "lon").agg(F.map_from_entries(F.collect_list(F.struct("kind", "area"))).alias("areas"))

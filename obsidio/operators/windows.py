@@ -79,16 +79,19 @@ def peer_performance(df: DataFrame, peer: Sequence[str], metric: str, least_vira
 
 def momentum(weekly: DataFrame, group: str, week: str = "week", value: str = "n") -> DataFrame:
     """Growth of the last 4 weeks over the 12 before: (sum4 / 4 + 1) / (sum12 / 12 + 1). Weeks without rows count as none."""
-    view = f"_momentum_{abs(hash((group, week, value)))}"
-    weekly.createOrReplaceTempView(view)
     return weekly.sparkSession.sql(f"""
         SELECT *, (coalesce(last4, 0) / 4 + 1) / (coalesce(prior12, 0) / 12 + 1) AS growth_4w FROM (
             SELECT *, sum({value}) OVER (PARTITION BY {group} ORDER BY {week} RANGE BETWEEN INTERVAL '21' DAY PRECEDING AND CURRENT ROW) AS last4,
                 sum({value}) OVER (PARTITION BY {group} ORDER BY {week} RANGE BETWEEN INTERVAL '105' DAY PRECEDING AND INTERVAL '28' DAY PRECEDING) AS prior12
-            FROM {view})""")
+            FROM {{weekly}})""", weekly=weekly)
 
 
 def share_of(df: DataFrame, keys: Sequence[str], group: Sequence[str], weight: Column) -> DataFrame:
     """Summed weights by ``keys`` within ``group`` and their share of the group's weight."""
     summed = df.groupBy(*group, *keys).agg(F.sum(weight).alias("weight"), F.count(F.lit(1)).alias("n"))
     return summed.withColumn("share", F.col("weight") / F.sum("weight").over(Window.partitionBy(*group)))
+
+
+def random_rows(df: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """A sample of ``n`` rows, the same for the same seed: the smallest hashes of the key."""
+    return df.withColumn("_u", F.xxhash64(F.col(key), F.lit(seed))).orderBy("_u", key).limit(n).drop("_u")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import similarity
 from ..sources import files, raw
-from ..session import load
+from ..session import load, scratch
 from .registry import query
 
 
@@ -74,14 +74,13 @@ def pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.select("c_custkey", similarity.pseudonym(F.col("c_name"), "customer", "a-fixed-salt").alias("pseudonym"))
 
 
-@query("SELECT split, count(*) AS n, count(DISTINCT o_custkey) AS customers FROM (SELECT *, CASE WHEN o_orderdate > TIMESTAMP '2000-01-01' THEN 'test' ELSE 'other' END AS split FROM orders) GROUP BY 1")
+@query("""
+    SELECT split, count(*) AS n, count(DISTINCT o_custkey) AS customers, max(o_orderkey) AS last FROM (SELECT *, CASE WHEN o_orderdate > TIMESTAMP '1997-01-01' THEN 'test'
+        WHEN CAST('0x' || substr(md5(CAST(o_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 200 THEN 'validation' ELSE 'train' END AS split FROM orders) GROUP BY 1""")
 def export_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write a versioned training set, read it back and count its splits."""
-    import tempfile
-
     orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
-    rows = files.with_split(orders, "o_orderdate", "2000-01-01", "o_custkey")
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="obsidio-export-")
-    manifest = files.export_version(rows, f"{root}/exports/{spark.sparkContext.applicationId}-{id(rows)}", "orders", ["o_orderkey"], "2000-01-01")
+    rows = files.with_split(orders, "o_orderdate", "1997-01-01", "o_custkey")
+    manifest = files.export_version(rows, scratch(spark, "exports"), "orders", ["o_orderkey"], "1997-01-01")
     back = spark.read.parquet(manifest["path"])
-    return back.groupBy(F.when(F.col("split") == "test", "test").otherwise("other").alias("split")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("customers"))
+    return back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("o_custkey").alias("customers"), F.max("o_orderkey").alias("last"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-MODULES = ("history", "relational", "matching", "cleaning", "documents", "marts", "raw", "resolution", "streams")
+MODULES = ("history", "relational", "matching", "cleaning", "documents", "marts", "models", "predicates", "raw", "resolution", "streams")
 
 _QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}

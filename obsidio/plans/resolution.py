@@ -2,22 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import joins, resolve, windows
-from ..session import load
+from ..session import load, scratch
 from .registry import query
 
 
 def written(spark: SparkSession):
     """Tables of a step go to the shared folder and come back."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="obsidio-")
 
     def checkpoint(df: DataFrame) -> DataFrame:
-        path = f"{base}/steps/{uuid.uuid4().hex}"
+        path = scratch(spark, "steps")
         df.write.parquet(path)
         return spark.read.schema(df.schema).parquet(path)
 

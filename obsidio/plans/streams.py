@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import windows
+from ..session import scratch
 from ..streaming import pipelines
 from .registry import query
 
@@ -17,8 +15,7 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _place(spark: SparkSession) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="obsidio-stream-")
-    return f"{base}/streams/{uuid.uuid4().hex}"
+    return scratch(spark, "streams")
 
 
 def _stamp(c: str):

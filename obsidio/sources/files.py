@@ -60,7 +60,7 @@ def export_version(df: DataFrame, root: str, name: str, keys: Sequence[str], as_
 
 def with_split(df: DataFrame, at: str, cut: str, group: str, test_share: float = 0.2) -> DataFrame:
     """Time first, then group: rows after ``cut`` are test; of the rest whole groups, chosen by hash, are validation."""
-    held = F.pmod(F.crc32(F.col(group).cast("string").cast("binary")), F.lit(1000)) < int(test_share * 1000)
+    held = F.conv(F.substring(F.md5(F.col(group).cast("string")), 1, 8), 16, 10).cast("long") % 1000 < int(test_share * 1000)
     return df.withColumn("split", F.when(F.col(at) > F.lit(cut).cast(df.schema[at].dataType), "test").when(held, "validation").otherwise("train"))
 
 
@@ -69,3 +69,34 @@ def catalog_of(tables: dict[str, DataFrame]) -> DataFrame:
     spark = next(iter(tables.values())).sparkSession
     rows = [(t, i, c, k, df.count()) for t, df in tables.items() for i, (c, k) in enumerate(df.dtypes, 1)]
     return spark.createDataFrame(rows, "table string, position int, column string, type string, rows long")
+
+
+def replace_kinds(rows: DataFrame, path: str, kind: str) -> None:
+    """Write rows into a table partitioned by ``kind``; the kinds that they hold are replaced, others stay."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(kind).parquet(path)
+
+
+def checksum(table: DataFrame) -> tuple[int, str]:
+    """Rows of a table, and a sum of row hashes that doesn't depend on their order."""
+    n, total = table.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*table.columns).cast("decimal(38,0)"))).first()
+    return n, str(total)
+
+
+def snapshot(tables: dict[str, DataFrame], path: str) -> DataFrame:
+    """Write every table below ``path`` with a manifest: name, rows, checksum, schema."""
+    spark = next(iter(tables.values())).sparkSession
+    found = []
+    for name, table in tables.items():
+        table.write.mode("errorifexists").option("compression", "zstd").parquet(f"{path}/{name}")
+        found.append((name, *checksum(spark.read.parquet(f"{path}/{name}")), table.schema.simpleString()))
+    manifest = spark.createDataFrame(found, "name string, rows long, checksum string, schema string")
+    manifest.coalesce(1).write.json(f"{path}/manifest")
+    return manifest
+
+
+def read_ranked(spark: SparkSession, path: str) -> DataFrame:
+    """(origin, rank_bucket, yyyymm) of compressed lines "origin,rank" in folders by month; a heading has no rank."""
+    line = spark.read.text(path)
+    rank = F.substring_index("value", ",", -1).try_cast("long")
+    origin = F.expr("left(value, length(value) - length(substring_index(value, ',', -1)) - 1)")
+    return line.select(origin.alias("origin"), rank.alias("rank_bucket"), "yyyymm").filter("rank_bucket is not null")

@@ -137,3 +137,9 @@ def portable(df: DataFrame) -> DataFrame:
 def strip_tokens(payload: Column, pattern: str, mark: str = "~") -> Column:
     """A payload without its volatile tokens, so that equal contents hash alike, and the tokens: struct<stable, tokens>."""
     return F.struct(F.regexp_replace(payload, pattern, mark).alias("stable"), F.regexp_extract_all(payload, F.lit(pattern), 0).alias("tokens"))
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Write a table over what was there, and read it back."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
