@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..session import scratch
+
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 #: Python code holds at most this many bytes of text at a time, one longer text aside.
@@ -20,20 +20,9 @@ SLICE_BYTES = 4 << 20
 FILTER_BITS = 28
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that every executor and the driver see.
-
-    Read from ``spark.checkpoint.dir``; only where that is unset (tests, one machine) a local folder is made and set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="obsidio-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
-
-
 def scratch_path(spark: SparkSession, tag: str) -> str:
-    return f"{shared_dir(spark)}/obsidio/{spark.sparkContext.applicationId}/{tag}-{uuid.uuid4().hex}"
+    """A new place in the folder that ``spark.checkpoint.dir`` names."""
+    return scratch(spark, tag)
 
 
 def materialise(df: DataFrame, tag: str, codec: str = "zstd") -> DataFrame:

@@ -588,6 +588,39 @@ def _centres(labelled: DataFrame, signatures: DataFrame) -> DataFrame:
     return spans.select("token", F.col("best.node").alias("centre"), F.col("best.comp").alias("centre_comp"))
 
 
+def _linked(whole: DataFrame, signatures: DataFrame) -> DataFrame:
+    """(node, comp) of the nodes that link with another, written."""
+    groups = token_groups(signatures)
+    sketched = token_groups(signatures, "sketch")
+    stars = groups.unionByName(sketched).filter("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
+    links = verified(stars, signatures, whole)
+    comps = materialise(connected_components(links), "sig-comps")
+    discard(sketched)
+
+    # a second star from each group's most central node, that with most of its prefix in company: edits leave tokens alone
+    labelled = _labelled(groups, comps)
+    central = materialise(_centres(labelled, signatures), "sig-centres")
+    if not central.isEmpty():
+        again = labelled.join(central, "token").filter("comp <> centre_comp")
+        again = again.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
+        comps = joined_up(comps, verified(again, signatures, whole))
+        discard(labelled, central)
+        labelled = _labelled(groups, comps)
+    # a group of two in one part has had its one pair verified
+    spans = labelled.groupBy("token").agg(
+        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("first").alias("f0"), F.max("first").alias("f1"), F.count(F.lit(1)).alias("size")
+    )
+    open_groups = materialise(spans.filter("lo <> hi and (size > 2 or f0 <> f1)").select("token"), "sig-open")
+    if open_groups.isEmpty():
+        return comps
+    members = labelled.join(open_groups, "token").join(signatures.select("node", "n", "bitmap"), "node").select("token", "times", "node", "comp", "n", "bitmap")
+    members = materialise(members, "sig-members")
+    met = materialise(tree_pairs(members), "sig-met")
+    pairs = materialise(_share_enough(met, signatures), "sig-pairs")
+    discard(members, labelled, groups, met)
+    return joined_up(comps, verified(pairs, signatures, whole))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Components of texts whose shingle sets reach the Jaccard similarity.
 
@@ -611,41 +644,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     counts = materialise(shared_counts(token_marks(docs, renamed)).join(classes, "node").filter(F.col("n_shared") >= _least_shared(F.col("n"))), "sig-counts")
     release(docs.sparkSession)
     needed = materialise(counts.select("node", "class_id").distinct(), "sig-needed")
-    whole = materialise(whole_sets(docs, needed, renamed), "sig-whole", "lz4")
+    if needed.isEmpty():
+        comps = docs.sparkSession.createDataFrame([], "node long, comp long")
+    else:
+        whole = materialise(whole_sets(docs, needed, renamed), "sig-whole", "lz4")
+        signatures = materialise(signatures_of(whole, frequent_tokens(whole)), "sig-signatures", "lz4")
+        comps = _linked(whole, signatures)
+        discard(signatures, whole)
     discard(counts, needed)
-    signatures = materialise(signatures_of(whole, frequent_tokens(whole)), "sig-signatures", "lz4")
-
-    groups = token_groups(signatures)
-    sketched = token_groups(signatures, "sketch")
-    stars = groups.unionByName(sketched).filter("node <> first").select(F.least("node", "first").alias("a"), F.greatest("node", "first").alias("b")).distinct()
-    links = verified(stars, signatures, whole)
-    comps = materialise(connected_components(links), "sig-comps")
-
-    # a second star from each group's most central node, that with most of its prefix in company: edits leave tokens alone
-    labelled = _labelled(groups, comps)
-    central = materialise(_centres(labelled, signatures), "sig-centres")
-    again = labelled.join(central, "token").filter("comp <> centre_comp")
-    again = again.select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b")).distinct()
-    comps = joined_up(comps, verified(again, signatures, whole))
-    discard(labelled, central)
-    labelled = _labelled(groups, comps)
-    # a group of two in one part has had its one pair verified
-    spans = labelled.groupBy("token").agg(
-        F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("first").alias("f0"), F.max("first").alias("f1"), F.count(F.lit(1)).alias("size")
-    )
-    open_groups = materialise(spans.filter("lo <> hi and (size > 2 or f0 <> f1)").select("token"), "sig-open")
-    members = labelled.join(open_groups, "token").join(signatures.select("node", "n", "bitmap"), "node").select("token", "times", "node", "comp", "n", "bitmap")
-    members = materialise(members, "sig-members")
-    met = materialise(tree_pairs(members), "sig-met")
-    pairs = materialise(_share_enough(met, signatures), "sig-pairs")
-    discard(members, labelled, groups, sketched, met)
-    comps = joined_up(comps, verified(pairs, signatures, whole))
-
     named = materialise(classes.join(comps, "node", "left").select("node", "class_id", F.coalesce("comp", "node").alias("comp")), "sig-named")
     lowest = materialise(named.groupBy("comp").agg(F.min("class_id").alias("component_id")), "sig-lowest")
     final = materialise(named.join(lowest, "comp").select("node", "class_id", "component_id"), "sig-final")
     ids = materialise(sets.select("doc_id", "n", "node"), "sig-ids")
-    discard(sets, signatures, whole, pairs)
+    discard(sets)
     with_words = ids.filter("n > 0").join(final, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id", "class_id")
     without = ids.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"), F.col("doc_id").alias("class_id"))
     return with_words.unionByName(without)
