@@ -54,12 +54,13 @@ def build(name: str, tables: Mapping[str, DataFrame], folder: str | None = None,
 
     With a ``folder`` every table on the way is written there as Parquet and read back, so that one that several others
     read is made once; without one the whole is one plan. ``settings`` go to the builders that have such parameters.
+    ``made`` holds tables that were made before, and gets those that are made now.
     """
     load()
-    made = dict(tables)
-    for table in order(name, tables):
+    made = {} if made is None else made
+    for table in order(name, {**tables, **made}):
         builder = MODELS[table]
         known = {k: v for k, v in settings.items() if k in inspect.signature(builder).parameters}
-        df = builder(*[made[t] for t in needs(table)], **known)
+        df = builder(*[tables[t] if t in tables else made[t] for t in needs(table)], **known)
         made[table] = write_table(df, f"{folder.rstrip('/')}/{table}") if folder else df
-    return made[name]
+    return tables[name] if name in tables else made[name]

@@ -379,7 +379,7 @@ model_query("dish_market", "dish_id; businesses; offerings; on_wolt; on_lieferan
     f"""SELECT CASE oid WHEN 'i1' THEN 'chicken_biryani' ELSE 'curry' END AS dish_id, count(DISTINCT k) AS businesses, count(DISTINCT pid || oid) AS offerings, count(DISTINCT k) FILTER (platform = 'wolt') AS on_wolt, count(DISTINCT k) FILTER (platform = 'lieferando') AS on_lieferando
     FROM {_OFFERS} WHERE oid IN ('i1', 'i3', 'a') AND price <> 999.99 GROUP BY 1""")
 model_query("content_performance", "platform; post_platform_id; perf_metric; peer_posts; mature; hashtag_count; round(perf_lift_vs_peer, 6) lift; posted_weekday_berlin",
-    f"""WITH p AS (SELECT 'instagram' AS platform, 'm' || k || '-' || m AS post_platform_id, 'h' || k AS peer, m * k + CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END + m AS perf, 2 AS tags, isodow(DATE '2025-12-01' + CAST(m - 1 AS INTEGER)) AS wd FROM {_N}, (SELECT unnest(range(1, 13)) AS m)
+    f"""WITH p AS (SELECT 'instagram' AS platform, 'm' || k || '-' || m AS post_platform_id, 'h' || k AS peer, CASE m WHEN 1 THEN 0 ELSE m * k + CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END + m END AS perf, 2 AS tags, isodow(DATE '2025-12-01' + CAST(m - 1 AS INTEGER)) AS wd FROM {_N}, (SELECT unnest(range(1, 13)) AS m)
         UNION ALL SELECT 'tiktok', 'v' || k, 'k' || k, 100 * k, 1, 1 FROM {_N} UNION ALL SELECT 'reddit', 't' || k, 'r/berlin', 10 * k + CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END, 0, 1 FROM {_N}
         UNION ALL SELECT 'youtube', 'yt' || k, 'y' || (k % 3), 100 * k + CASE WHEN k % 2 = 0 THEN 1 ELSE 0 END, 1, 1 FROM {_N})
     SELECT platform, post_platform_id, perf AS perf_metric, count(*) OVER w AS peer_posts, true AS mature, tags AS hashtag_count, round(ln((perf + 1) / (median(perf) OVER w + 1)), 6) AS lift, wd AS posted_weekday_berlin FROM p WINDOW w AS (PARTITION BY platform, peer)
