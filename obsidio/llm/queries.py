@@ -40,7 +40,7 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .tokencount import apply_edits, build_trees, scripted_edits
 
     trees = materialise(build_trees(table(spark, sf_dir, "documents")), "token-trees")
-    return apply_edits(scripted_edits(trees)).select("doc_id", "n_tokens_before", "n_tokens", "n_pieces", "n_recounted")
+    return apply_edits(scripted_edits(trees), keep=False).select("doc_id", "n_tokens_before", "n_tokens", "n_pieces", "n_recounted")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

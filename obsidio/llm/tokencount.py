@@ -229,15 +229,17 @@ def attach_edits(trees: DataFrame, edits: DataFrame) -> DataFrame:
     return trees.join(by_doc, "doc_id", "left")
 
 
-def apply_edits(trees: DataFrame, path: str | None = None) -> DataFrame:
+def apply_edits(trees: DataFrame, path: str | None = None, keep: bool = True) -> DataFrame:
     """Stored trees after their edits, with token numbers before and after.
 
     ``trees`` has doc_id, TREE_COLUMNS and edits, an array of (at, deleted, inserted) that is applied from first to last.
     Null edits count as none; within an edit, null numbers count as 0 and null insertions as empty, and what reaches beyond
     the text is cut off. Rows are mapped one by one; nothing is shuffled.
 
-    Returns doc_id, TREE_COLUMNS, n_tokens_before, n_tokens, n_pieces, n_recounted (pre-tokens counted anew for the edits).
+    Returns doc_id, TREE_COLUMNS, n_tokens_before, n_tokens, n_pieces, n_recounted (pre-tokens counted anew for the edits);
+    with ``keep`` off, without the trees.
     """
+    kinds, names = ([*_KINDS], [*TREE_COLUMNS]) if keep else ([], [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         using = counter(path)
@@ -249,11 +251,12 @@ def apply_edits(trees: DataFrame, path: str | None = None) -> DataFrame:
                 for e in edits or ():
                     if e:
                         tree.edit(e["at"] or 0, e["deleted"] or 0, e["inserted"] or "")
-                rows.append((*tree.stored(), before, tree.n_tokens, tree.n_pieces, tree.recounted))
-            yield pa.RecordBatch.from_arrays([piece.column(0), *_columns(rows, [*_KINDS, *[pa.int64()] * 4])], ["doc_id", *TREE_COLUMNS, *_COUNTS])
+                rows.append((*(tree.stored() if keep else ()), before, tree.n_tokens, tree.n_pieces, tree.recounted))
+            yield pa.RecordBatch.from_arrays([piece.column(0), *_columns(rows, [*kinds, *[pa.int64()] * 4])], ["doc_id", *names, *_COUNTS])
 
     rows = trees.select("doc_id", *TREE_COLUMNS, F.col("edits").cast("array<struct<at:bigint,deleted:bigint,inserted:string>>").alias("edits"))
-    return rows.mapInArrow(run, f"doc_id long, {TREE}, {', '.join(f'{c} long' for c in _COUNTS)}")
+    tree = f"{TREE}, " if keep else ""
+    return rows.mapInArrow(run, f"doc_id long, {tree}{', '.join(f'{c} long' for c in _COUNTS)}")
 
 
 def scripted_edits(trees: DataFrame) -> DataFrame:
