@@ -181,7 +181,8 @@ def phone_e164(x: Column) -> Column:
 
 
 def postcode(x: Column) -> Column:
-    return extract(x, "\\b(\\d{5})\\b")
+    """Five digits: those after a comma, else those before a name, else the first; house numbers can have five, too."""
+    return F.coalesce(extract(x, ",\\s*(?:D-\\s?)?(\\d{5})\\b(?!\\s*[-/])"), extract(x, "\\b(\\d{5})\\s+\\p{L}"), extract(x, "\\b(\\d{5})\\b"))
 
 
 _NUMBER = "\\d+\\s*[a-zA-Z]?(?:\\s*[-/]\\s*\\d+\\s*[a-zA-Z]?)?"
