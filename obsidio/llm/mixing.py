@@ -25,6 +25,8 @@ WEIGHT_BITS, MARGIN = 52, 1 / 128
 SLOTS = 1 << 18
 #: Rows of a stretch of the hash order that are numbered together, and sources that are cut into stretches at most.
 STRETCH, MOST_CUT = 4096, 1000
+#: Bits of a number's place in its list, and rows whose positions are broadcast at most: 64 MB.
+LISTED, MOST_LISTED = 8, 1 << 24
 SEED = 17
 
 
@@ -160,6 +162,27 @@ def _rows_and_places(docs: DataFrame, weights: dict[str, float] | None, tag: str
     return rows, materialise(places, f"{tag}-places")
 
 
+def _looked_up(rows: DataFrame, table: DataFrame, key: str, value: str, tag: str) -> DataFrame:
+    """``rows`` with the ``value`` that ``table`` has for their ``key``, from lists that are broadcast: no row is moved.
+
+    Keys of the table are whole numbers without gaps within 2 ** LISTED of them, each once; values are below 2 ** 31.
+    """
+    bits = (1 << LISTED) - 1
+    chunk = F.shiftright(key, LISTED).alias("_list")
+    lists = table.groupBy(chunk).agg(F.array_sort(F.collect_list(F.struct(key, F.col(value).cast("int").alias(value)))).alias("_values"))
+    lists = materialise(lists.select("_list", F.transform("_values", lambda x: x[value]).alias("_values")), tag)
+    found = F.get("_values", F.col(key).bitwiseAND(F.lit(bits)).cast("int")).cast("long").alias(value)
+    return rows.withColumn("_list", F.shiftright(key, LISTED)).join(F.broadcast(lists), "_list").select(*rows.columns, found)
+
+
+def _positioned(rows: DataFrame, places: DataFrame, tag: str) -> DataFrame:
+    """(number, row, position). Positions of up to MOST_LISTED rows are broadcast; more are joined, which moves the rows."""
+    positions = places.select("number", F.col("place.position").alias("position"))
+    if places.count() > MOST_LISTED:
+        return rows.join(positions, "number")
+    return _looked_up(rows, positions, "number", "position", f"{tag}-lists")
+
+
 def placed_rows(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
     """(row, place): every row of ``docs`` as a struct, with its source, block, slot and position in the mixture.
 
@@ -167,7 +190,11 @@ def placed_rows(docs: DataFrame, weights: dict[str, float] | None = None) -> Dat
     of the row; rows equal in all columns are alike.
     """
     rows, places = _rows_and_places(docs, weights, "mix-rows")
-    return rows.join(places, "number").select("row", "place")
+    if places.count() > MOST_LISTED:
+        return rows.join(places, "number").select("row", "place")
+    at = _positioned(rows, places, "mix-rows").withColumn("slot", F.floor(F.col("position") / BLOCK_ROWS))
+    at = _looked_up(at, places.select("place.slot", "place.block").distinct(), "slot", "block", "mix-rows-blocks")
+    return at.select("row", F.struct(F.col("row.source").alias("source"), "block", "slot", "position").alias("place"))
 
 
 def in_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
@@ -175,5 +202,5 @@ def in_order(docs: DataFrame, weights: dict[str, float] | None = None) -> DataFr
     rows, places = _rows_and_places(docs, weights, "mix-order")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     end = (places.agg(F.max("place.position")).first()[0] or 0) + 1
-    part = F.floor(F.col("place.position") * parts / end).cast("int")
-    return rows.join(places, "number").repartitionById(parts, part).sortWithinPartitions("place.position").select("row.*")
+    part = F.floor(F.col("position") * parts / end).cast("int")
+    return _positioned(rows, places, "mix-order").repartitionById(parts, part).sortWithinPartitions("position").select("row.*")
