@@ -12,7 +12,8 @@ from __future__ import annotations
 
 import base64
 import functools
-from collections.abc import Iterator
+import itertools
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,10 @@ class Counter:
             self.young[piece] = n
         return n
 
+    def counts(self, pieces: list[str]) -> list[int]:
+        found = list(map(self.young.get, pieces))
+        return [self.count(x) if n is None else n for x, n in zip(pieces, found, strict=True)] if None in found else found
+
 
 @functools.lru_cache(maxsize=2)
 def counter(path: str | None = None) -> Counter:
@@ -68,9 +73,10 @@ class TokenTree:
     def __init__(self, text: str, using: Counter):
         self.using, self.recounted = using, 0
         pieces = using.pattern.findall(text)
-        self._build(pieces, list(map(using.count, pieces)))
+        self._build(pieces, using.counts(pieces))
 
     def _build(self, pieces: list[str], counts: list[int]) -> None:
+        self.n_pieces = len(pieces)
         at = range(0, max(len(pieces), 1), LEAF)
         self.leaves, self.counts = [pieces[i : i + LEAF] for i in at], [counts[i : i + LEAF] for i in at]
         self.size = 1 << (len(self.leaves) - 1).bit_length()
@@ -83,19 +89,32 @@ class TokenTree:
 
     def stored(self) -> tuple:
         """The tree as a row: text, characters and tokens of each pre-token, pre-tokens of each leaf, sums of the nodes."""
+        self._open()
         return self.text(), [len(x) for leaf in self.leaves for x in leaf], [n for leaf in self.counts for n in leaf], list(map(len, self.leaves)), self.chars, self.tokens
 
     @classmethod
-    def restored(cls, using: Counter, text: str, piece_chars: list[int], piece_tokens: list[int], leaf_pieces: list[int], chars: list[int], tokens: list[int]) -> TokenTree:
-        """The tree of a row. Nothing is split or counted."""
+    def restored(cls, using: Counter, text: str, piece_chars: Sequence[int], piece_tokens: Sequence[int], leaf_pieces: Sequence[int], chars: Sequence[int], tokens: Sequence[int]) -> TokenTree:
+        """The tree of a row. Nothing is counted, and a leaf's text is split only when it is looked at."""
         tree = cls.__new__(cls)
         tree.using, tree.recounted, tree.chars, tree.tokens, tree.size = using, 0, list(chars), list(tokens), len(chars) // 2
-        ends, bounds = np.cumsum(piece_chars, dtype=np.int64).tolist(), np.cumsum([0, *leaf_pieces], dtype=np.int64).tolist()
-        pieces = [text[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-        tree.leaves = [pieces[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-        tree.counts = [list(piece_tokens[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
+        n, bounds = len(leaf_pieces), [0, *itertools.accumulate(leaf_pieces)]
+        tree.leaves, tree.counts, tree.n_pieces = [None] * n, [None] * n, bounds[-1]
+        tree.closed = text, piece_chars, piece_tokens, bounds, [0, *itertools.accumulate(tree.chars[tree.size : tree.size + n])]
         return tree
 
+    def _leaf(self, i: int) -> list[str]:
+        """The pre-tokens of a leaf, which is opened if it isn't yet."""
+        if self.leaves[i] is None:
+            text, chars, tokens, bounds, begins = self.closed
+            own = slice(bounds[i], bounds[i + 1])
+            ends = list(itertools.accumulate(chars[own], initial=begins[i]))
+            self.leaves[i], self.counts[i] = [text[a:b] for a, b in itertools.pairwise(ends)], list(tokens[own])
+        return self.leaves[i]
+
+    def _open(self) -> None:
+        for i in range(len(self.leaves)):
+            self._leaf(i)
+
     @property
     def n_chars(self) -> int:
         return self.chars[1]
@@ -104,11 +123,8 @@ class TokenTree:
     def n_tokens(self) -> int:
         return self.tokens[1]
 
-    @property
-    def n_pieces(self) -> int:
-        return sum(map(len, self.leaves))
-
     def text(self) -> str:
+        self._open()
         return "".join(x for leaf in self.leaves for x in leaf)
 
     def _leaf_at(self, at: int) -> tuple[int, int]:
@@ -126,6 +142,7 @@ class TokenTree:
         """Put ``leaf`` in place i and carry the change of its sums upward."""
         node = self.size + i
         chars, tokens = sum(map(len, leaf)) - self.chars[node], sum(counts) - self.tokens[node]
+        self.n_pieces += len(leaf) - len(self._leaf(i))
         self.leaves[i], self.counts[i] = leaf, counts
         while node:
             self.chars[node] += chars
@@ -140,7 +157,7 @@ class TokenTree:
             return
         first, begin = self._leaf_at(max(0, at - LOOKAHEAD))
         head = 0
-        for piece in self.leaves[first]:  # pre-tokens that end LOOKAHEAD before the edit stay
+        for piece in self._leaf(first):  # pre-tokens that end LOOKAHEAD before the edit stay
             if begin + len(piece) > at - LOOKAHEAD:
                 break
             begin += len(piece)
@@ -149,7 +166,7 @@ class TokenTree:
         have = sum(map(len, old))
         while have < at - begin + deleted + LOOKAHEAD and last + 1 < len(self.leaves):
             last += 1
-            old, numbers = old + self.leaves[last], numbers + self.counts[last]
+            old, numbers = old + self._leaf(last), numbers + self.counts[last]
             have += self.chars[self.size + last]
         cut, shift = at - begin, len(inserted) - deleted
         text = "".join(old)
@@ -167,7 +184,7 @@ class TokenTree:
             found = self.using.pattern.match(text, now)
             if (found is None or found.end() + LOOKAHEAD > len(text)) and last + 1 < len(self.leaves):
                 last += 1
-                for piece in self.leaves[last]:
+                for piece in self._leaf(last):
                     if total >= cut + deleted:
                         bounds[total + shift] = len(old)
                     old.append(piece)
@@ -182,11 +199,12 @@ class TokenTree:
             now = found.end()
         self.recounted += len(new)
         leaf = self.leaves[first][:head] + new + old[kept:]
-        counts = self.counts[first][:head] + list(map(self.using.count, new)) + numbers[kept:]
+        counts = self.counts[first][:head] + self.using.counts(new) + numbers[kept:]
         for i in range(first + 1, last + 1):
             self._set(i, [], [])
         self._set(first, leaf, counts)
         if len(leaf) > FULL:
+            self._open()
             self._build([x for part in self.leaves for x in part], [n for part in self.counts for n in part])
 
 
@@ -200,6 +218,12 @@ def _columns(rows: list[tuple], kinds: list) -> list[pa.Array]:
     return [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
 
 
+def _values(column: pa.Array) -> Iterator[memoryview]:
+    """The values of each row of a list column, as views that give whole numbers of Python when they are read."""
+    values, at = memoryview(np.ascontiguousarray(column.values.to_numpy())), column.offsets.to_numpy().tolist()
+    return (values[a:b] for a, b in itertools.pairwise(at))
+
+
 def build_trees(docs: DataFrame, path: str | None = None) -> DataFrame:
     """The tree of every whole text, as a table to keep: doc_id and TREE_COLUMNS.
 
@@ -245,7 +269,7 @@ def apply_edits(trees: DataFrame, path: str | None = None, keep: bool = True) ->
         using = counter(path)
         for piece in slices(batches, "text"):
             rows = []
-            for *stored, edits in zip(*(c.to_pylist() for c in piece.columns[1:]), strict=True):
+            for *stored, edits in zip(piece.column(1).to_pylist(), *map(_values, piece.columns[2:7]), piece.column(7).to_pylist(), strict=True):
                 tree = TokenTree.restored(using, *stored)
                 before = tree.n_tokens
                 for e in edits or ():
